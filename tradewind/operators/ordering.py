@@ -96,7 +96,7 @@ def with_position(
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_num") -> DataFrame:
     """ROW_NUMBER over the whole table; end ``order`` with a unique column."""
-    return with_position(df, order).withColumn(name, F.col(INDEX) + 1).drop(INDEX, TOTAL)
+    return with_position(df, order).select(*df.columns, (F.col(INDEX) + 1).alias(name))
 
 
 def global_ntile(
@@ -109,7 +109,7 @@ def global_ntile(
     edge = larger * (small + 1)
     tile = F.when(F.col(INDEX) < edge, F.floor(F.col(INDEX) / (small + 1))).otherwise(
         larger + F.floor(F.try_divide(F.col(INDEX) - edge, small)))
-    return placed.withColumn(name, (tile + 1).cast("int")).drop(INDEX, TOTAL)
+    return placed.select(*df.columns, (tile + 1).cast("int").alias(name))
 
 
 def ranks(
@@ -202,9 +202,8 @@ def running_total(
     first = F.min_by(
         F.coalesce(F.col(upto), F.lit(0)) - F.coalesce(F.col(value), F.lit(0)), INDEX)
     starts = placed.groupBy(*group).agg(first.alias("_start"))
-    joined = _null_safe(placed, starts, group, "inner")
-    return joined.withColumn(name, F.col(upto) - F.col("_start")).drop(
-        "_start", upto, INDEX, TOTAL)
+    joined = _null_safe(placed.drop(INDEX, TOTAL), starts, group, "inner")
+    return joined.withColumn(name, F.col(upto) - F.col("_start")).drop("_start", upto)
 
 
 def lag_in_group(
