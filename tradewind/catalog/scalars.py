@@ -59,8 +59,8 @@ ENTRIES = [
           lambda r: r.table("events").select(
               "event_id", C.days_between("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
               .alias("result")),
-          """SELECT event_id, ROUND(date_diff('second', date_trunc('day', ts), ts) / 86400.0, 2)
-             AS result FROM events"""),
+          """SELECT event_id, CAST(ROUND(CAST(date_diff('second', date_trunc('day', ts), ts)
+             / 86400.0 AS DECIMAL(18,6)), 2) AS DOUBLE) AS result FROM events"""),
     Entry("SC-10", "text_to_date",
           lambda r: r.orders.select("order_id", C.parse_date_text(
               F.date_format("order_date", "M/d/yyyy")).alias("result")),

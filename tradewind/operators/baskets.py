@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Baskets with more distinct products than this are cut into blocks of about this
-# size; the result is the same for any value.
+from tradewind.session import stage
+
+# Orders with more lines than this are large. They are cut into blocks of about
+# this many products; the result is the same for any value.
 BLOCK = 1000
+# How many of the strongest products are paired up to find a floor.
+PROBES = 16
+COUNT = "times_bought_together"
 
 
 def basket_lines(items: DataFrame) -> DataFrame:
@@ -29,87 +34,112 @@ def pairs_per_order(items: DataFrame) -> DataFrame:
     )
 
 
-def _with_blocks(lines: DataFrame, block: int) -> DataFrame:
-    """Add ``_blocks`` (1 for ordinary baskets) and this line's own ``_block``."""
-    large = (
-        lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_size"))
-        .filter(F.col("_size") > block)
-        .select("order_id", F.ceil(F.col("_size") / block).cast("int").alias("_blocks"))
+def large_orders(items: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(order_id, lines) of the orders with more than ``block`` lines."""
+    return (
+        items.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
+        .filter(F.col("lines") > block)
     )
+
+
+def _small_order_pairs(lines: DataFrame) -> DataFrame:
+    """Pair counts by self join; one shuffle on ``order_id`` serves both sides."""
+    left = lines.select(
+        "order_id", F.col("product_id").alias("_a"), F.col("label").alias("product_a"))
+    right = lines.select(
+        "order_id", F.col("product_id").alias("_b"), F.col("label").alias("product_b"))
     return (
-        lines.join(large, "order_id", "left")
-        .withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
-        .withColumn("_block", F.pmod(F.hash("product_id"), F.col("_blocks")))
+        left.join(right, "order_id").filter(F.col("_a") < F.col("_b"))
+        .groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias(COUNT))
     )
 
 
-def _pair_sums(lines: DataFrame, block: int, floor=None) -> DataFrame:
-    """Sum of copies_a * copies_b per label pair, over a.product_id < b.product_id.
+def _grid_pairs(lines: DataFrame, floor: Column | None = None) -> DataFrame:
+    """Pair counts of large orders.
 
-    An ordinary basket is one join key. A large one becomes a grid of block
-    pairs, each its own join key, so its pairs spread over many tasks. ``floor``
-    drops label pairs whose bound shows that they cannot reach it.
+    ``lines`` has one row per order and product with its ``copies``, the
+    ``blocks`` its order is cut into, and the ``bound`` of its label. Every pair
+    of blocks of an order is a join key of its own, so no task holds more than
+    two blocks of it. ``floor`` drops pairs whose bound cannot reach it.
     """
-    split = _with_blocks(lines, block)
-    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    left = split.select(
-        "order_id", F.col("_block").alias("_i"), every.alias("_j"),
-        F.col("product_id").alias("_a"), F.col("label").alias("product_a"),
-        F.col("copies").alias("_ca"), F.col("bound").alias("_ba"))
-    right = split.select(
-        "order_id", every.alias("_i"), F.col("_block").alias("_j"),
-        F.col("product_id").alias("_b"), F.col("label").alias("product_b"),
-        F.col("copies").alias("_cb"), F.col("bound").alias("_bb"))
+    own = F.pmod(F.hash("product_id"), F.col("blocks"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = lines.select(
+        "order_id", own.alias("_i"), every.alias("_j"), F.col("product_id").alias("_a"),
+        F.col("label").alias("product_a"), F.col("copies").alias("_ca"),
+        F.col("bound").alias("_ba"))
+    right = lines.select(
+        "order_id", every.alias("_i"), own.alias("_j"), F.col("product_id").alias("_b"),
+        F.col("label").alias("product_b"), F.col("copies").alias("_cb"),
+        F.col("bound").alias("_bb"))
     pairs = left.join(right, ["order_id", "_i", "_j"]).filter(F.col("_a") < F.col("_b"))
     if floor is not None:
         pairs = pairs.filter(F.col("_ba") * F.col("_bb") >= floor)
     return pairs.groupBy("product_a", "product_b").agg(
-        F.sum(F.col("_ca") * F.col("_cb")).alias("times_bought_together"))
+        F.sum(F.col("_ca") * F.col("_cb")).alias(COUNT))
+
+
+def _large_order_pairs(
+    items: DataFrame, names: DataFrame, large: DataFrame, small_pairs: DataFrame, k: int,
+) -> DataFrame:
+    """Pair counts of large orders, for every pair that may be among the ``k`` best.
+
+    All pairs of a large order would be quadratic in its size. But two labels
+    cannot be found together more often than norm_a * norm_b, the norm being the
+    root of the summed squares of a label's lines per order (Cauchy-Schwarz; a
+    label's norm is at most the sum of its products' norms). The k-th best count
+    among the small orders, or among a few strong products in the large ones, is a
+    floor the k-th best total certainly reaches, so labels and pairs with a bound
+    below it need not be counted.
+    """
+    square = F.col("copies").cast("double") * F.col("copies")
+    norms = basket_lines(items).groupBy("product_id").agg(F.sqrt(F.sum(square)).alias("_norm"))
+    named = norms.join(names, "product_id")
+    bounds = named.groupBy("label").agg(F.sum("_norm").alias("bound"))
+    lines = basket_lines(items.join(large.select("order_id"), "order_id", "left_semi")).join(
+        large.select("order_id", "blocks"), "order_id")
+    strong = named.orderBy(F.col("_norm").desc(), "product_id").limit(PROBES)
+    probed = _grid_pairs(lines.join(
+        F.broadcast(strong.select("product_id", "label", F.col("_norm").alias("bound"))),
+        "product_id"))
+    # one part in a million off the floor makes up for rounding in the roots
+    floor = F.greatest(_kth(small_pairs, k), _kth(probed, k)) * F.lit(1 - 1e-6)
+    best = bounds.agg(F.max("bound")).scalar()
+    useful = names.join(bounds, "label").filter(F.col("bound") * best >= floor)
+    return _grid_pairs(lines.join(useful, "product_id"), floor)
+
+
+def _kth(pairs: DataFrame, k: int) -> Column:
+    """The k-th best count, or 1 if there are fewer pairs."""
+    best = pairs.orderBy(F.col(COUNT).desc()).limit(k)
+    return best.agg(
+        F.when(F.count(F.lit(1)) == k, F.min(COUNT)).otherwise(1).cast("double")).scalar()
 
 
 def bought_together(
     items: DataFrame, products: DataFrame, label: str = "product_name", k: int = 20,
-    block: int = BLOCK, probes: int = 16,
+    block: int = BLOCK,
 ) -> DataFrame:
     """The ``k`` label pairs most often found in one order, exactly.
 
-    Counts item-row pairs with a.product_id < b.product_id, so a pair of labels
-    may appear in either order. Counting every pair would be quadratic in the
-    basket size; but a pair of labels cannot be found together more often than
-    norm_a * norm_b, where norm is the root of the summed squares of the label's
-    copies per order (Cauchy-Schwarz; a label's norm is at most the sum over its
-    products). So:
-
-    1. one norm per product, from the basket lines;
-    2. the exact counts among the ``probes`` strongest products give a floor the
-       k-th best pair certainly reaches;
-    3. only labels and pairs whose bound reaches the floor are counted.
+    Counts item-row pairs with a.product_id < b.product_id, so two labels may
+    appear in either order. Orders of up to ``block`` lines are joined with
+    themselves. Larger ones, if the check finds any, are counted block by block
+    and only for pairs that can reach the result.
     """
-    lines = basket_lines(items)
-    names = products.select("product_id", F.col(label).alias("label")) if label != "product_id" \
-        else products.select("product_id", F.col("product_id").alias("label"))
-    norms = lines.groupBy("product_id").agg(
-        F.sqrt(F.sum((F.col("copies") * F.col("copies")).cast("double"))).alias("_norm"))
-    labelled = norms.join(names, "product_id")
-    bounds = labelled.groupBy("label").agg(F.sum("_norm").alias("bound"))
-
-    strongest = labelled.orderBy(F.col("_norm").desc(), "product_id").limit(probes)
-    probe_lines = lines.join(F.broadcast(strongest.select(
-        "product_id", "label", F.col("_norm").alias("bound"))), "product_id")
-    probed = _pair_sums(probe_lines, block)
-    kth = (
-        probed.orderBy(F.col("times_bought_together").desc()).limit(k)
-        .agg(F.when(F.count(F.lit(1)) == k, F.min("times_bought_together")).otherwise(1)
-             .cast("double"))
-        .scalar()
-    )
-    # one part in a million off the floor makes up for rounding in the roots
-    floor = kth * F.lit(1 - 1e-6)
-    best = bounds.agg(F.max("bound")).scalar()
-    useful = names.join(bounds, "label").filter(F.col("bound") * best >= floor)
-    candidates = lines.join(useful, "product_id")
+    names = products.select("product_id", F.col(label).alias("label"))
+    order = [F.col(COUNT).desc(), F.col("product_a").asc(), F.col("product_b").asc()]
+    bought = items.select("order_id", "product_id")
+    large = large_orders(bought, block)
+    if large.isEmpty():
+        return _small_order_pairs(bought.join(names, "product_id")).orderBy(*order).limit(k)
+
+    large = stage(large, "large_orders").select(
+        "order_id", F.ceil(F.col("lines") / block).cast("int").alias("blocks"))
+    small = bought.join(large.select("order_id"), "order_id", "left_anti")
+    small_pairs = stage(_small_order_pairs(small.join(names, "product_id")), "small_pairs")
+    both = small_pairs.unionByName(_large_order_pairs(bought, names, large, small_pairs, k))
     return (
-        _pair_sums(candidates, block, floor)
-        .orderBy(F.col("times_bought_together").desc(), "product_a", "product_b")
-        .limit(k)
+        both.groupBy("product_a", "product_b").agg(F.sum(COUNT).alias(COUNT))
+        .orderBy(*order).limit(k)
     )

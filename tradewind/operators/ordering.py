@@ -131,38 +131,39 @@ def ranks(
     """
     cumulative = cumulative or {}
     group = list(group)
-    distinct = df.groupBy(*group, key).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum_{c}") for c in cumulative])
-    sums = [*(["_rows"] if rank else []), *[f"_sum_{c}" for c in cumulative]]
+    counted = {"_rows": F.count(F.lit(1))}
+    for c in cumulative:
+        counted |= {f"_sum_{c}": F.sum(c), f"_known_{c}": F.count(c)}
+    distinct = df.groupBy(*group, key).agg(*[e.alias(n) for n, e in counted.items()])
+    sums = [n for n in counted if rank or n != "_rows"]
     placed = with_position(
         distinct, [*(F.col(g).asc() for g in group), direction(key, descending)], sums)
-
-    if group:
-        # what had been counted before the first key of the group
-        base = {INDEX: F.min(INDEX)}
-        if rank:
-            base["_rows"] = F.min(F.col("_upto__rows") - F.col("_rows"))
-        for c in cumulative:
-            s = f"_sum_{c}"
-            base[s] = F.min_by(F.col(f"_upto_{s}") - F.coalesce(F.col(s), F.lit(0)), INDEX)
-        starts = placed.groupBy(*group).agg(*[e.alias(f"_start_{n}") for n, e in base.items()])
-        placed = _null_safe(placed, starts, group, "inner")
-
-    def since_start(upto: str, counted: str) -> Column:
-        if not group:
-            return F.col(upto)
-        return F.col(upto) - F.coalesce(F.col(f"_start_{counted}"), F.lit(0))
+    placed = _from_group_start(placed, group, sums)
 
     out = []
     if rank:
-        out.append((since_start("_upto__rows", "_rows") - F.col("_rows") + 1).alias(rank))
+        out.append((F.col("_upto__rows") - F.col("_rows") + 1).alias(rank))
     if dense_rank:
-        out.append((since_start(INDEX, INDEX) + 1).alias(dense_rank))
+        out.append((F.col(INDEX) + 1).alias(dense_rank))
     for c, name in cumulative.items():
-        out.append(since_start(f"_upto__sum_{c}", f"_sum_{c}").alias(name))
+        out.append(F.when(F.col(f"_upto__known_{c}") > 0, F.col(f"_upto__sum_{c}")).alias(name))
     return _null_safe(df, placed.select(*group, key, *out), [*group, key], "inner")
 
 
+def _from_group_start(placed: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Make ``_index`` and the running sums count from the first row of each group."""
+    if not group:
+        return placed
+    before = {INDEX: F.min(INDEX)} | {
+        f"_upto_{c}": F.min_by(
+            F.coalesce(F.col(f"_upto_{c}"), F.lit(0)) - F.coalesce(F.col(c), F.lit(0)), INDEX)
+        for c in sums}
+    starts = placed.groupBy(*group).agg(*[e.alias(f"_start{n}") for n, e in before.items()])
+    joined = _null_safe(placed, starts, group, "inner")
+    return joined.withColumns({n: F.col(n) - F.col(f"_start{n}") for n in before}).drop(
+        *[f"_start{n}" for n in before])
+
+
 def global_rank(df: DataFrame, key: str, name: str = "rank", descending: bool = True) -> DataFrame:
     """RANK over the whole table, with gaps after ties."""
     return ranks(df, key, descending=descending, rank=name)
@@ -197,13 +198,12 @@ def running_total(
     ``order`` should end with a unique column.
     """
     group = list(group)
-    placed = with_position(df, [*(F.col(g).asc() for g in group), *order], [value])
-    upto = f"_upto_{value}"
-    first = F.min_by(
-        F.coalesce(F.col(upto), F.lit(0)) - F.coalesce(F.col(value), F.lit(0)), INDEX)
-    starts = placed.groupBy(*group).agg(first.alias("_start"))
-    joined = _null_safe(placed.drop(INDEX, TOTAL), starts, group, "inner")
-    return joined.withColumn(name, F.col(upto) - F.col("_start")).drop("_start", upto)
+    known = df.withColumn("_known", F.col(value).isNotNull().cast("int"))
+    sums = [value, "_known"]
+    placed = with_position(known, [*(F.col(g).asc() for g in group), *order], sums)
+    placed = _from_group_start(placed, group, sums)
+    total = F.when(F.col("_upto__known") > 0, F.col(f"_upto_{value}"))
+    return placed.select(*df.columns, total.alias(name))
 
 
 def lag_in_group(
@@ -213,7 +213,8 @@ def lag_in_group(
     group = list(group)
     staged = _sorted_and_staged(df, [*(F.col(g).asc() for g in group), *order])
     row = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)], F.col(value).alias("v"))
-    ends = staged.groupBy(PART).agg(F.max_by(row, POS).alias("_end"))
+    last = staged.groupBy(PART).agg(F.max(POS).alias(POS))
+    ends = staged.join(F.broadcast(last), [PART, POS]).select(PART, row.alias("_end"))
     carried = ends.select(PART, F.lag("_end").over(Window.orderBy(PART)).alias("_carry"))
     before = F.lag(row).over(Window.partitionBy(PART).orderBy(POS))
     joined = staged.withColumn("_prev", before).join(F.broadcast(carried), PART)

@@ -26,9 +26,10 @@ def never_delivered_customers(orders: DataFrame, customers: DataFrame) -> DataFr
 
 def order_gaps(orders: DataFrame) -> DataFrame:
     """Each order with the customer's order before it and the days between."""
-    active = R.active_orders(orders).select("customer_id", "order_date")
+    active = R.active_orders(orders).select("customer_id", "order_date", "order_id")
     gaps = ordering.lag_in_group(
-        active, ["customer_id"], [F.col("order_date").asc()], "order_date", "previous_order_date")
+        active, ["customer_id"], [F.col("order_date").asc(), F.col("order_id").asc()],
+        "order_date", "previous_order_date")
     return gaps.withColumn("days_gap", C.days_between("order_date", "previous_order_date"))
 
 

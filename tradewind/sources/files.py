@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -86,7 +86,8 @@ def copy_dataset(
 ) -> DataFrame:
     """Copy a data set and check it: (rows_read, rows_written, column_count).
 
-    Raises unless the copy holds as many rows as the source.
+    Rows are counted while they are written and again in the copy; raises unless
+    both agree.
     """
     def load(path: str) -> DataFrame:
         if fmt == "csv":
@@ -95,14 +96,16 @@ def copy_dataset(
 
     data = load(source)
     _refuse_own_input(data, target)
+    counted = Observation()
+    watched = data.observe(counted, F.count(F.lit(1)).alias("rows_read"))
     if fmt == "csv":
-        write_csv(data, target)
+        write_csv(watched, target)
     else:
-        data.write.mode("overwrite").format(fmt).save(target)
-    written = load(target).agg(F.count(F.lit(1))).scalar()
-    result = data.agg(F.count(F.lit(1)).alias("rows_read")).select(
-        "rows_read", written.alias("rows_written"), F.lit(len(data.columns)).alias("column_count"))
-    read_rows, written_rows, _ = result.first()
-    if read_rows != written_rows:
-        raise RuntimeError(f"copy of {source} is incomplete: {written_rows} of {read_rows} rows")
-    return result
+        watched.write.mode("overwrite").format(fmt).save(target)
+    rows_read = counted.get["rows_read"]
+    rows_written = load(target).count()
+    if rows_read != rows_written:
+        raise RuntimeError(f"copy of {source} is incomplete: {rows_written} of {rows_read} rows")
+    return spark.range(1).select(
+        F.lit(rows_read).alias("rows_read"), F.lit(rows_written).alias("rows_written"),
+        F.lit(len(data.columns)).alias("column_count"))
