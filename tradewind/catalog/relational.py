@@ -283,11 +283,12 @@ AGGREGATES = [
 
 SORTING = [
     Entry("SL-01", "sort_desc", lambda r: r.table("orders").select(
-        "o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc()),
-        "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC"),
+        "o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc(), "o_orderkey"),
+        "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey"),
     Entry("SL-01", "sort_asc", lambda r: r.table("orders").select(
-        "o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").asc_nulls_first()),
-        "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice"),
+        "o_orderkey", "o_totalprice").orderBy(
+            F.col("o_totalprice").asc_nulls_first(), "o_orderkey"),
+        "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey"),
     Entry("SL-02", "sort_multi", lambda r: r.orders.orderBy(
         F.col("status").asc(), F.col("order_date").desc(), F.col("order_id").asc()),
         """SELECT order_id, customer_id, order_date, status FROM shop_orders

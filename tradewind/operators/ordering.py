@@ -10,6 +10,7 @@ only need one small correction per output partition:
 * rank, dense rank, cumulative sum
                       the same on one row per *distinct* value, joined back
 * lag                 the last row of the partition before
+* group aggregates    the groups that reach over a partition border
 
 The tables of per-partition corrections hold one row per partition, which bounds
 what is broadcast and what the unpartitioned windows on them see.
@@ -17,7 +18,7 @@ what is broadcast and what the unpartitioned windows on them see.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,8 +34,9 @@ def direction(name: str, descending: bool) -> Column:
     return F.col(name).desc_nulls_last() if descending else F.col(name).asc_nulls_first()
 
 
-def _sorted_and_staged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Total order; every row knows its partition and its place in it.
+def sorted_parts(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The rows in total order, staged; each knows its partition (``_part``) and its
+    place in it (``_pos``).
 
     ``monotonically_increasing_id`` puts the partition number in the upper bits
     and the running number in the lower 33.
@@ -64,10 +66,11 @@ def with_position(
     """Number the rows 0, 1, 2, ... in ``order`` and add running sums.
 
     Adds ``_index``, ``_total`` (rows in all) and for every ``c`` in ``sums``
-    ``_upto_c``, the sum of ``c`` over all rows up to and including this one.
-    ``order`` should be unique, otherwise equal rows are numbered arbitrarily.
+    ``_upto_c``, the sum of ``c`` over all rows up to and including this one;
+    ``_part`` and ``_pos`` stay. ``order`` should be unique, otherwise equal rows
+    are numbered arbitrarily.
     """
-    staged = _sorted_and_staged(df, order)
+    staged = sorted_parts(df, order)
     per_part = staged.groupBy(PART).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in sums])
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -90,7 +93,7 @@ def with_position(
     return (
         joined.withColumn(INDEX, F.col(POS) + F.col("_before"))
         .withColumns(running)
-        .drop(PART, POS, "_before", *[f"_before_{c}" for c in sums], *[f"_in_{c}" for c in sums])
+        .drop("_before", *[f"_before_{c}" for c in sums], *[f"_in_{c}" for c in sums])
     )
 
 
@@ -150,6 +153,36 @@ def ranks(
     return _null_safe(df, placed.select(*group, key, *out), [*group, key], "inner")
 
 
+def with_group_values(
+    parts: DataFrame, group: Sequence[str], values: Mapping[str, Column]
+) -> DataFrame:
+    """Add aggregates of each group to all of its rows, for groups of any size.
+
+    ``parts`` must be sorted by ``group`` first. Only the first and the last group
+    of a partition can reach into another one, so the aggregate of every other
+    group is a window inside its partition, without a further shuffle; the few
+    groups at the borders are aggregated apart and broadcast, at most two rows per
+    partition.
+    """
+    group = list(group)
+    inside = Window.partitionBy(PART, *group)
+    local = parts.withColumns({n: v.over(inside) for n, v in values.items()})
+    ends = parts.groupBy(PART).agg(F.min(POS).alias("_lo"), F.max(POS).alias("_hi"))
+    border = (
+        parts.select(PART, POS, *group).join(F.broadcast(ends), PART)
+        .filter((F.col(POS) == F.col("_lo")) | (F.col(POS) == F.col("_hi")))
+        .select(*group).distinct()
+    )
+    whole = (
+        _null_safe(parts, F.broadcast(border), group, "inner")
+        .groupBy(*group).agg(*[v.alias(f"_whole_{n}") for n, v in values.items()])
+    )
+    joined = _null_safe(local, F.broadcast(whole), group, "left")
+    return joined.withColumns(
+        {n: F.coalesce(F.col(f"_whole_{n}"), F.col(n)) for n in values}
+    ).drop(*[f"_whole_{n}" for n in values])
+
+
 def _from_group_start(placed: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
     """Make ``_index`` and the running sums count from the first row of each group."""
     if not group:
@@ -158,10 +191,8 @@ def _from_group_start(placed: DataFrame, group: Sequence[str], sums: Sequence[st
         f"_upto_{c}": F.min_by(
             F.coalesce(F.col(f"_upto_{c}"), F.lit(0)) - F.coalesce(F.col(c), F.lit(0)), INDEX)
         for c in sums}
-    starts = placed.groupBy(*group).agg(*[e.alias(f"_start{n}") for n, e in before.items()])
-    joined = _null_safe(placed, starts, group, "inner")
-    return joined.withColumns({n: F.col(n) - F.col(f"_start{n}") for n in before}).drop(
-        *[f"_start{n}" for n in before])
+    started = with_group_values(placed, group, {f"_start{n}": v for n, v in before.items()})
+    return started.withColumns({n: F.col(n) - F.col(f"_start{n}") for n in before})
 
 
 def global_rank(df: DataFrame, key: str, name: str = "rank", descending: bool = True) -> DataFrame:
@@ -206,25 +237,32 @@ def running_total(
     return placed.select(*df.columns, total.alias(name))
 
 
-def lag_in_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], value: str, name: str
-) -> DataFrame:
-    """LAG(value, 1) per group, for groups of any size."""
-    group = list(group)
-    staged = _sorted_and_staged(df, [*(F.col(g).asc() for g in group), *order])
+def lag_in_parts(parts: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
+    """LAG(value, 1) per group over ``parts`` sorted by ``group`` first.
+
+    The first row of a partition takes over from the last row of the one before.
+    """
     row = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)], F.col(value).alias("v"))
-    last = staged.groupBy(PART).agg(F.max(POS).alias(POS))
-    ends = staged.join(F.broadcast(last), [PART, POS]).select(PART, row.alias("_end"))
+    last = parts.groupBy(PART).agg(F.max(POS).alias(POS))
+    ends = parts.join(F.broadcast(last), [PART, POS]).select(PART, row.alias("_end"))
     carried = ends.select(PART, F.lag("_end").over(Window.orderBy(PART)).alias("_carry"))
     before = F.lag(row).over(Window.partitionBy(PART).orderBy(POS))
-    joined = staged.withColumn("_prev", before).join(F.broadcast(carried), PART)
+    joined = parts.withColumn("_prev", before).join(F.broadcast(carried), PART)
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     same = F.lit(True)
     for i, g in enumerate(group):
         same = same & prev[f"g{i}"].eqNullSafe(F.col(g))
     return joined.withColumn(
         name, F.when(prev.isNotNull() & same, prev["v"])
-    ).drop(PART, POS, "_prev", "_carry")
+    ).drop("_prev", "_carry")
+
+
+def lag_in_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], value: str, name: str
+) -> DataFrame:
+    """LAG(value, 1) per group, for groups of any size."""
+    parts = sorted_parts(df, [*(F.col(g).asc() for g in group), *order])
+    return lag_in_parts(parts, group, value, name).drop(PART, POS)
 
 
 def top_n_per_group(
@@ -232,11 +270,17 @@ def top_n_per_group(
 ) -> DataFrame:
     """Rows whose DENSE_RANK in their group is at most ``n``.
 
-    Spark keeps only the first ``n`` ranks of each group before the shuffle
-    (WindowGroupLimit), so a hot group costs no more than a small one.
+    Only distinct keys are ranked, and Spark keeps the first ``n`` of each group
+    before the shuffle (WindowGroupLimit): neither a hot group nor a key shared by
+    very many rows reaches one task. The rows then look up their key.
     """
+    group = list(group)
     w = Window.partitionBy(*group).orderBy(F.col(key).desc_nulls_last())
-    return df.withColumn(name, F.dense_rank().over(w)).filter(F.col(name) <= n)
+    best = (
+        df.select(*group, key).distinct()
+        .withColumn(name, F.dense_rank().over(w)).filter(F.col(name) <= n)
+    )
+    return _null_safe(df, best, [*group, key], "inner")
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

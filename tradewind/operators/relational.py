@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from tradewind.functions import columns as C
+from tradewind.session import stage
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -94,10 +95,11 @@ def with_group_average(df: DataFrame, key: str, column: str, name: str) -> DataF
     """A detail table joined back to its own per-key mean.
 
     An aggregate and a join instead of a window: the aggregate shrinks a hot key
-    before the shuffle and the join may split its rows over many tasks.
+    before the shuffle. It is staged because Spark splits a hot key in a join only
+    if both sides come straight out of a shuffle.
     """
-    means = df.groupBy(key).agg(
-        C.mean_of(F.sum(column), F.count(column), 6).alias(name))
+    means = stage(df.groupBy(key).agg(
+        C.mean_of(F.sum(column), F.count(column), 6).alias(name)), "means")
     return df.join(means, key)
 
 

@@ -40,9 +40,15 @@ def dim_clean(df: DataFrame) -> DataFrame:
 
 
 def scd1_merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Matched keys are overwritten, new ones inserted, the rest is kept."""
+    """Matched keys are overwritten, new ones inserted, the rest is kept.
+
+    Rows without a key match nothing and stay out of the join, where they would
+    all meet in one task.
+    """
     batch = one_row_per_key(source, key)
-    return target.join(batch.select(key), key, "left_anti").unionByName(batch)
+    keyed = target.filter(F.col(key).isNotNull())
+    kept = keyed.join(batch.select(key), key, "left_anti")
+    return kept.unionByName(target.filter(F.col(key).isNull())).unionByName(batch)
 
 
 def scd2_open(df: DataFrame, since: str) -> DataFrame:
@@ -60,12 +66,15 @@ def scd2_merge(
     matches and closed versions stay as they are.
 
     One full outer join on the key: each target row meets at most one source
-    row, and the pair yields one or two result rows.
+    row, and the pair yields one or two result rows. Closed versions and rows
+    without a key stay out of it.
     """
     batch = one_row_per_key(source, key)
     plain = [c for c in target.columns if c not in (CURRENT, VALID_FROM, VALID_TO)]
-    closed = target.filter(~F.col(CURRENT))
-    current = target.filter(F.col(CURRENT))
+    joins = F.coalesce(F.col(CURRENT) & F.col(key).isNotNull(), F.lit(False))
+    current, rest = target.filter(joins), target.filter(~joins)
+    unkeyed = scd2_open(batch.filter(F.col(key).isNull()), since).select(*target.columns)
+    batch = batch.filter(F.col(key).isNotNull())
 
     old = F.struct(*[F.col(c) for c in target.columns])
     since_kind = target.schema[VALID_FROM].dataType
@@ -91,7 +100,7 @@ def scd2_merge(
         .when(same, F.array(kept))
         .otherwise(F.array(expired, new))
     )
-    return both.select(F.inline(versions)).unionByName(closed)
+    return both.select(F.inline(versions)).unionByName(rest).unionByName(unkeyed)
 
 
 def scd_validate(df: DataFrame, key: str, current_only: bool = False) -> DataFrame:

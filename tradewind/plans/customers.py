@@ -24,23 +24,20 @@ def never_delivered_customers(orders: DataFrame, customers: DataFrame) -> DataFr
     return R.present_in(customers, waiting, "customer_id").select("customer_id", "customer_name")
 
 
-def order_gaps(orders: DataFrame) -> DataFrame:
-    """Each order with the customer's order before it and the days between."""
+def _gap_parts(orders: DataFrame) -> DataFrame:
+    """Orders sorted by customer and date, each with the gap to the one before."""
     active = R.active_orders(orders).select("customer_id", "order_date", "order_id")
-    gaps = ordering.lag_in_group(
-        active, ["customer_id"], [F.col("order_date").asc(), F.col("order_id").asc()],
-        "order_date", "previous_order_date")
-    return gaps.withColumn("days_gap", C.days_between("order_date", "previous_order_date"))
-
-
-def _average_gap(gaps: DataFrame) -> DataFrame:
-    return gaps.groupBy("customer_id").agg(F.avg("days_gap").alias("_mean"))
+    parts = ordering.sorted_parts(active.filter(F.col("customer_id").isNotNull()), [
+        F.col("customer_id").asc(), F.col("order_date").asc(), F.col("order_id").asc()])
+    lagged = ordering.lag_in_parts(parts, ["customer_id"], "order_date", "previous_order_date")
+    return lagged.withColumn("days_gap", C.days_between("order_date", "previous_order_date"))
 
 
 def order_gap_risk(orders: DataFrame) -> DataFrame:
     """Every order with its gap; customers ordering less than monthly are at risk."""
-    gaps = order_gaps(orders)
-    return gaps.join(_average_gap(gaps), "customer_id").select(
+    gaps = ordering.with_group_values(
+        _gap_parts(orders), ["customer_id"], {"_mean": F.avg("days_gap")})
+    return gaps.select(
         "customer_id", "order_date", "previous_order_date", "days_gap",
         C.risk_flag("_mean").alias("risk_flag"))
 
@@ -48,7 +45,8 @@ def order_gap_risk(orders: DataFrame) -> DataFrame:
 def reorder_risk_by_customer(orders: DataFrame) -> DataFrame:
     """Mean gap per customer; customers with a single order are left out."""
     return (
-        _average_gap(order_gaps(orders)).filter(F.col("_mean").isNotNull())
+        _gap_parts(orders).groupBy("customer_id").agg(F.avg("days_gap").alias("_mean"))
+        .filter(F.col("_mean").isNotNull())
         .select("customer_id", F.round("_mean", 2).alias("avg_days_gap"),
                 C.risk_flag("_mean").alias("risk_flag"))
     )

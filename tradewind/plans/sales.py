@@ -103,7 +103,7 @@ def product_rank_in_category(
 ) -> DataFrame:
     """DENSE_RANK by rounded revenue inside each category, of any size.
 
-    The ranking reads its input twice, so the aggregate is staged first.
+    A ranking reads its input twice, so the aggregate is staged first.
     """
     revenue = stage(revenue_by_product_name(items, orders, products), "product_revenue")
     return ordering.rank_in_group(revenue, ["category"], "total_revenue", "rank_in_category")
@@ -113,9 +113,9 @@ def top_products_per_category(
     items: DataFrame, orders: DataFrame, products: DataFrame, n: int = 3
 ) -> DataFrame:
     """The names with the ``n`` highest revenues of each category."""
+    revenue = stage(revenue_by_product_name(items, orders, products), "product_revenue")
     return ordering.top_n_per_group(
-        revenue_by_product_name(items, orders, products),
-        ["category"], "total_revenue", n, "rank_in_category")
+        revenue, ["category"], "total_revenue", n, "rank_in_category")
 
 
 def revenue_concentration(items: DataFrame, orders: DataFrame) -> DataFrame:
