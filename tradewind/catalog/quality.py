@@ -167,7 +167,7 @@ RULES = [
               .alias("registration_date")),
           """SELECT customer_id, strftime(registration_date, '%Y-%m-%d') AS registration_date
              FROM clean_customers"""),
-    Entry("DQ-18", "cleaning_report", lambda r: cleaning.cleaning_report(r.dirty, r.as_of),
+    Entry("DQ-18", "cleaning_report", lambda r: _cleaned(r).report,
           _REPORT_SQL),
     Entry("DQ-19", "primary_key_violations",
           lambda r: Q.primary_key_violations(r.dirty["orders"].select("customer_id"),

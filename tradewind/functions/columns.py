@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Formats tried in this order when dates arrive as text.
-DATE_FORMATS = ("d-M-yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+# Layouts of dates that arrive as text. No text fits two of them, so
+# the most common one comes first.
+DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "d-M-yyyy")
 # Further layouts a general-purpose date parser accepts (month first).
 GENERAL_FORMATS = (
     "yyyy/M/d", "yyyy/M/d HH:mm:ss", "M/d/yyyy", "M/d/yyyy HH:mm:ss",

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,20 +13,6 @@ from tradewind.operators import quality as Q
 from tradewind.session import stage
 
 
-@dataclass(frozen=True)
-class Cleaned:
-    customers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    report: DataFrame
-
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "customers": self.customers, "products": self.products,
-            "orders": self.orders, "order_items": self.order_items}
-
-
 def clean_products(products: DataFrame) -> DataFrame:
     return products.withColumn("product_name", C.title_case("product_name"))
 
@@ -60,22 +45,13 @@ def _metrics(df: DataFrame, table: str, counts: Mapping[str, Column]) -> DataFra
     return df.agg(F.array(*rows).alias("_all")).select(F.inline("_all"))
 
 
-def cleaning_report(raw: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
+def _report(raw: Mapping[str, DataFrame], orders: DataFrame, as_of: Column) -> DataFrame:
     """(table_name, metric, value) in the order of the cleaning steps.
 
-    Each rule becomes a flag and the flags of a table are counted together.
-    Referential checks are left joins against the keys of the cleaned parents,
-    which are staged: Spark splits a hot key in a join only if both sides come
-    straight out of a shuffle, not out of a distinct.
+    One pass per raw table: each rule becomes a flag and all flags of a table are
+    counted together. Rows lost to a missing parent are differences of counts, so
+    no rows without a parent have to meet in a join.
     """
-    def keys(df: DataFrame, key: str) -> DataFrame:
-        return stage(df.select(key).distinct(), key)
-
-    customers = keys(clean_customers(raw["customers"]), "customer_id")
-    orders = clean_orders(raw["orders"], as_of)
-    kept_orders = keys(Q.keep_referenced(orders, customers, "customer_id"), "order_id")
-    products = keys(raw["products"], "product_id")
-
     name = F.col("product_name")
     product_rows = _metrics(raw["products"], "products", {
         "names_normalized": F.count_if(~name.eqNullSafe(C.title_case(name))),
@@ -85,38 +61,74 @@ def cleaning_report(raw: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
         "invalid_emails": F.count_if(C.invalid_email("email")),
     })
 
-    # two aggregates: rows without a customer must not meet in one join key
-    keyed, at = ~C.is_blank("customer_id"), C.parse_timestamp("order_date")
-    raw_order_rows = _metrics(raw["orders"], "orders", {
+    keyed, at = ~C.is_blank("customer_id"), F.col("_at")
+    kept = orders.agg(F.count(F.lit(1))).scalar()
+    parsed = raw["orders"].withColumn("_at", C.parse_timestamp("order_date"))
+    order_rows = _metrics(parsed, "orders", {
         "null_customer_ids_dropped": F.count_if(~keyed),
         "wrong_date_formats_fixed": F.count_if(
             keyed & F.col("order_date").rlike(C.DAY_FIRST_PATTERN)),
         "future_dates_dropped": F.count_if(keyed & (at > as_of)),
-    })
-    known = customers.withColumn("_known", F.lit(True))
-    order_rows = _metrics(orders.join(known, "customer_id", "left"), "orders", {
-        "missing_customer_orders_dropped": F.count_if(F.col("_known").isNull()),
-        "total_orders_cleaned": F.count("_known"),
+        "missing_customer_orders_dropped": F.count_if(keyed & (at <= as_of)) - kept,
+        "total_orders_cleaned": kept,
     })
 
-    has_order = kept_orders.withColumn("_order", F.lit(True))
-    has_product = products.withColumn("_product", F.lit(True))
+    # staged: Spark splits a hot key in a join only if both sides come straight
+    # out of a shuffle, not out of a distinct
+    products = stage(raw["products"].select("product_id").distinct(), "product_keys")
+    with_order = Q.keep_referenced(raw["order_items"], orders, "order_id")
     flagged = (
-        raw["order_items"].join(has_order, "order_id", "left")
-        .join(has_product, "product_id", "left")
-        .withColumn("_kept", F.coalesce(F.col("_order") & F.col("_product"), F.lit(False)))
-        .withColumn("_zero", F.col("quantity").eqNullSafe(0))
+        with_order.join(products.withColumn("_product", F.lit(True)), "product_id", "left")
+        .withColumns({"_kept": F.col("_product").isNotNull(),
+                      "_zero": F.col("quantity").eqNullSafe(0)})
     )
+    all_items = raw["order_items"].agg(F.count(F.lit(1))).scalar()
     discount = F.col("discount_percent")
     item_rows = _metrics(flagged, "order_items", {
-        "orphaned_items_dropped": F.count_if(F.col("_order").isNull()),
+        "orphaned_items_dropped": all_items - F.count(F.lit(1)),
         "zero_quantity_dropped": F.count_if(F.col("_kept") & F.col("_zero")),
         "invalid_discounts_reset": F.count_if(
             F.col("_kept") & ~F.col("_zero") & ((discount < 0) | (discount > 100))),
         "total_items_cleaned": F.count_if(F.col("_kept") & ~F.col("_zero")),
     })
-    return reduce(DataFrame.unionByName, [
-        product_rows, customer_rows, raw_order_rows, order_rows, item_rows])
+    return reduce(DataFrame.unionByName, [product_rows, customer_rows, order_rows, item_rows])
+
+
+class Cleaned:
+    """The four cleaned tables and the report, each worked out when first asked for.
+
+    Customers and orders are staged: both feed the tables below them and the
+    report.
+    """
+
+    def __init__(self, raw: Mapping[str, DataFrame], as_of: Column):
+        self.raw, self.as_of = raw, as_of
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return clean_products(self.raw["products"])
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return stage(clean_customers(self.raw["customers"]), "customers")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        orders = clean_orders(self.raw["orders"], self.as_of)
+        return stage(Q.keep_referenced(orders, self.customers, "customer_id"), "orders")
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return clean_items(self.raw["order_items"], self.orders, self.products)
+
+    @cached_property
+    def report(self) -> DataFrame:
+        return _report(self.raw, self.orders, self.as_of)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {
+            "customers": self.customers, "products": self.products,
+            "orders": self.orders, "order_items": self.order_items}
 
 
 def clean_ecommerce(raw: Mapping[str, DataFrame], as_of: Column) -> Cleaned:
@@ -125,8 +137,4 @@ def clean_ecommerce(raw: Mapping[str, DataFrame], as_of: Column) -> Cleaned:
     ``raw`` holds ``customers``, ``products``, ``orders`` and ``order_items`` with
     dates as text; ``as_of`` is the moment that counts as now.
     """
-    products = clean_products(raw["products"])
-    customers = clean_customers(raw["customers"])
-    orders = Q.keep_referenced(clean_orders(raw["orders"], as_of), customers, "customer_id")
-    items = clean_items(raw["order_items"], orders, products)
-    return Cleaned(customers, products, orders, items, cleaning_report(raw, as_of))
+    return Cleaned(raw, as_of)
