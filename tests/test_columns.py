@@ -76,6 +76,18 @@ def test_days_between_has_fractions(spark):
     assert df.select(C.days_between("a", "b")).first()[0] == 2.25
 
 
+def test_days_between_ignores_the_time_zone(spark):
+    """A day with a clock change is still one day."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame(
+            [(dt.datetime(2025, 4, 1), dt.datetime(2025, 3, 2))], "a timestamp_ntz, b timestamp_ntz")
+        assert df.select(C.days_between("a", "b")).first()[0] == 30.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @pytest.mark.parametrize("value,want", [
     (10000.01, "High"), (10000.0, "Medium"), (5000.0, "Medium"), (4999.99, "Low"), (-1.0, "Low"),
     (None, "Low")])

@@ -216,30 +216,30 @@ ENTRIES = [
               CASE WHEN AVG(days_gap) > 30 THEN 'At Risk' ELSE 'Normal' END AS risk_flag
               FROM ({_GAPS}) GROUP BY customer_id HAVING COUNT(days_gap) > 0"""),
     Entry("BQ-20", "sales_per_customer",
-          lambda r: aggregates.sum_by_key(r.sales(), "customer_id", "sales", "total_sales")
+          lambda r: aggregates.sum_by_key(r.sales(order=True), "customer_id", "sales", "total_sales")
           .orderBy(F.col("total_sales").desc(), "customer_id"),
           "SELECT * FROM customer_sales"),
     Entry("BQ-21", "profit_per_customer",
           lambda r: aggregates.sum_by_key(
-              r.sales(product=True), "customer_id", "profit", "total_profit")
+              r.sales(order=True, product=True), "customer_id", "profit", "total_profit")
           .orderBy(F.col("total_profit").desc(), "customer_id"),
           """SELECT customer_id, CAST(SUM(profit) AS DECIMAL(28,4)) AS total_profit
              FROM sales_lines GROUP BY customer_id"""),
-    Entry("BQ-22", "customer_rank", lambda r: sales.rank_customers(r.sales(), r.customers),
+    Entry("BQ-22", "customer_rank", lambda r: sales.rank_customers(r.sales(order=True), r.customers),
           """SELECT c.customer_id, customer_name, total_sales,
              RANK() OVER (ORDER BY total_sales DESC) AS customer_rank
              FROM customer_sales s JOIN shop_customers c ON s.customer_id = c.customer_id"""),
-    Entry("BQ-23", "top10_customers", lambda r: sales.extreme_customers(r.sales(), 10, True),
+    Entry("BQ-23", "top10_customers", lambda r: sales.extreme_customers(r.sales(order=True), 10, True),
           "SELECT * FROM customer_sales ORDER BY total_sales DESC, customer_id LIMIT 10"),
-    Entry("BQ-23", "bottom10_customers", lambda r: sales.extreme_customers(r.sales(), 10, False),
+    Entry("BQ-23", "bottom10_customers", lambda r: sales.extreme_customers(r.sales(order=True), 10, False),
           "SELECT * FROM customer_sales ORDER BY total_sales, customer_id LIMIT 10"),
     Entry("BQ-24", "single_order_customers",
           lambda r: aggregates.keys_with_single(
-              r.sales(), "customer_id", "order_id", "total_orders"),
+              r.sales(order=True), "customer_id", "order_id", "total_orders"),
           """SELECT customer_id, COUNT(DISTINCT order_id) AS total_orders FROM sales_lines
              GROUP BY customer_id HAVING COUNT(DISTINCT order_id) = 1"""),
     Entry("BQ-25", "above_average_customers",
-          lambda r: sales.above_average_customers(r.sales()),
+          lambda r: sales.above_average_customers(r.sales(order=True)),
           """SELECT * FROM customer_sales WHERE total_sales >
              (SELECT CAST(SUM(total_sales) AS DOUBLE) / COUNT(*) FROM customer_sales)"""),
     Entry("BQ-26", "region_summary",
@@ -277,7 +277,7 @@ ENTRIES = [
              sales AS total_sales, ROUND(CAST(profit AS DOUBLE), 4) AS net_profit,
              'Profitable' AS profit_flag
              FROM sales_lines WHERE region = 'ASIA' AND profit > 0"""),
-    Entry("BQ-34", "monthly_sales_trend", lambda r: periods.monthly_sales_trend(r.sales()),
+    Entry("BQ-34", "monthly_sales_trend", lambda r: periods.monthly_sales_trend(r.sales(order=True)),
           """SELECT strftime(order_date, '%Y-%m') AS order_month,
              CAST(SUM(sales) AS DECIMAL(28,4)) AS total_sales FROM sales_lines
              GROUP BY order_month"""),

@@ -191,7 +191,7 @@ RULES = [
              GROUP BY customer_id HAVING COUNT(*) > 1"""),
     Entry("DQ-24", "dimension_rows",
           lambda r: Q.build_dimension(
-              r.sales(), "customer_id", ["ship_mode", "quantity"], "first"),
+              r.sales(order=True), "customer_id", ["ship_mode", "quantity"], "first"),
           """SELECT customer_id, ship_mode, quantity FROM (
                SELECT customer_id, ship_mode, quantity, row_number() OVER (
                  PARTITION BY customer_id ORDER BY ship_mode, quantity) AS n FROM sales_lines)

@@ -176,13 +176,13 @@ SUBQUERIES = [
           """SELECT row_id, order_id, sales FROM sales_lines
              WHERE sales > (SELECT CAST(SUM(sales) AS DOUBLE) / COUNT(sales) FROM sales_lines)"""),
     Entry("SQ-02", "max_row_per_key",
-          lambda r: R.max_rows_per_key(r.sales(), "customer_id", "sales").select(
+          lambda r: R.max_rows_per_key(r.sales(order=True), "customer_id", "sales").select(
               "customer_id", "order_id", "sales"),
           """SELECT customer_id, order_id, sales FROM sales_lines s
              WHERE sales = (SELECT MAX(sales) FROM sales_lines t
                             WHERE t.customer_id = s.customer_id)"""),
     Entry("SQ-03", "cte_single",
-          lambda r: aggregates.sum_by_key(r.sales(), "customer_id", "sales", "total_sales")
+          lambda r: aggregates.sum_by_key(r.sales(order=True), "customer_id", "sales", "total_sales")
           .orderBy(F.col("total_sales").desc(), "customer_id"),
           "SELECT * FROM customer_sales ORDER BY total_sales DESC, customer_id"),
     Entry("SQ-04", "cte_chain",
@@ -194,7 +194,7 @@ SUBQUERIES = [
                      SUM(net) AS revenue FROM active_facts GROUP BY ALL))
              GROUP BY order_month, category"""),
     Entry("SQ-05", "scalar_over_cte",
-          lambda r: sales.above_average_customers(r.sales()),
+          lambda r: sales.above_average_customers(r.sales(order=True)),
           """SELECT * FROM customer_sales WHERE total_sales >
              (SELECT CAST(SUM(total_sales) AS DOUBLE) / COUNT(*) FROM customer_sales)"""),
     Entry("SQ-06", "scalar_max_date",
@@ -232,10 +232,10 @@ AGGREGATES = [
               CAST(SUM(sales) AS DECIMAL(28,4)) AS total_sales, {mean('profit')} AS avg_profit
               FROM sales_lines GROUP BY region, sub_category"""),
     Entry("AG-04", "sum_by_key",
-          lambda r: aggregates.sum_by_key(r.sales(), "customer_id", "sales", "total_sales"),
+          lambda r: aggregates.sum_by_key(r.sales(order=True), "customer_id", "sales", "total_sales"),
           "SELECT * FROM customer_sales"),
     Entry("AG-05", "count_distinct",
-          lambda r: aggregates.distinct_per_key(r.sales(), "customer_id", "order_id", "orders"),
+          lambda r: aggregates.distinct_per_key(r.sales(order=True), "customer_id", "order_id", "orders"),
           """SELECT customer_id, COUNT(DISTINCT order_id) AS orders FROM sales_lines
              GROUP BY customer_id"""),
     Entry("AG-06", "conditional_sum",
@@ -261,7 +261,7 @@ AGGREGATES = [
           """SELECT brand, COUNT(discount) AS discounted, COUNT(final_price) AS priced,
              COUNT(*) AS listed FROM product_listing GROUP BY brand"""),
     Entry("AG-10", "scalar_total",
-          lambda r: aggregates.sum_by_key(r.sales(), "customer_id", "sales", "total_sales").agg(
+          lambda r: aggregates.sum_by_key(r.sales(order=True), "customer_id", "sales", "total_sales").agg(
               F.sum("total_sales").cast("decimal(28,4)").alias("all_sales"),
               C.mean_of(F.sum("total_sales"), F.count("total_sales")).alias("mean_sales"),
               F.max("total_sales").alias("best_sales")),

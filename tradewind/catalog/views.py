@@ -10,9 +10,13 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tradewind.sources import files
 
 # The moment that counts as now for the dirty orders.
 AS_OF = "2002-01-01 00:00:00"
+_LAYOUTS: dict[str, StructType] = {}
 
 
 def _cents(c: str) -> Column:
@@ -30,7 +34,11 @@ class Retail:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A driver table; its layout is looked up once per folder and process."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _LAYOUTS:
+            _LAYOUTS[path] = self.spark.read.parquet(path).schema
+        return files.read_parquet(self.spark, path, _LAYOUTS[path])
 
     @cached_property
     def region_of_nation(self) -> DataFrame:
@@ -102,16 +110,19 @@ class Retail:
 
     # --- the flat sales listing --------------------------------------------
 
-    def sales(self, customer: bool = False, region: bool = False, product: bool = False,
-              raw: bool = False) -> DataFrame:
+    def sales(self, order: bool = False, customer: bool = False, region: bool = False,
+              product: bool = False, raw: bool = False) -> DataFrame:
         """Order lines with amounts, joined only with the tables that are asked for.
 
-        ``raw`` gives every column of the listing, dates as M/d/yyyy text.
+        ``order`` adds customer and date, ``product`` names and profit; ``raw`` gives
+        every column of the listing, dates as M/d/yyyy text.
         """
         if raw:
             customer = region = product = True
-        df = self.table("lineitem").join(
-            self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        order = order or customer or region
+        df = self.table("lineitem")
+        if order:
+            df = df.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         if customer or region:
             home = self.table("customer")
             if region:
@@ -129,15 +140,15 @@ class Retail:
                 "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
                 _cents("l_extendedprice").cast("string")),
             "order_id": F.col("l_orderkey"),
-            "order_date": F.col("o_orderdate"),
             "ship_date": F.col("l_shipdate"),
             "ship_mode": F.col("l_returnflag"),
-            "customer_id": F.col("o_custkey"),
             "product_id": F.col("l_partkey"),
             "sales": sales,
             "quantity": quantity,
             "discount": F.col("l_discount").cast("decimal(5,4)"),
         }
+        if order:
+            out |= {"order_date": F.col("o_orderdate"), "customer_id": F.col("o_custkey")}
         if customer:
             out |= {"customer_name": F.col("c_name"), "segment": F.col("c_mktsegment"),
                     "postal_code": F.col("c_nationkey")}

@@ -13,7 +13,7 @@ from tradewind.operators import ordering
 
 
 def _lines(r: Retail) -> DataFrame:
-    return r.sales().select("row_id", "customer_id", "sales")
+    return r.sales(order=True).select("row_id", "customer_id", "sales")
 
 
 def _running(r: Retail) -> DataFrame:

@@ -132,8 +132,15 @@ def month_distance(later: str | Column, earlier: str | Column) -> Column:
 
 
 def days_between(later: str | Column, earlier: str | Column, digits: int = 2) -> Column:
-    """Fractional days, rounded."""
-    seconds = F.timestamp_diff("SECOND", _col(earlier), _col(later))
+    """Fractional days between two wall-clock times, rounded.
+
+    Days and seconds of the day are taken apart, so no time zone gets a say.
+    """
+    def second_of_day(c: Column) -> Column:
+        return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+    a, b = _col(later), _col(earlier)
+    seconds = F.datediff(a, b).cast("long") * 86400 + second_of_day(a) - second_of_day(b)
     return F.round(seconds / F.lit(86400.0), digits)
 
 

@@ -59,6 +59,10 @@ def export_csv(df: DataFrame, path: str) -> DataFrame:
 
 
 def _refuse_own_input(df: DataFrame, path: str) -> None:
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return
     target = path.rstrip("/").removeprefix("file:")
     for f in df.inputFiles():
         name = f.removeprefix("file://").removeprefix("file:")
