@@ -58,18 +58,27 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _last_rows(parts: DataFrame, *columns: Column) -> DataFrame:
+    """``_part`` and the given columns of the last row of each partition."""
+    last = parts.groupBy(PART).agg(F.max(POS).alias(POS))
+    return parts.join(F.broadcast(last), [PART, POS]).select(PART, *columns)
+
+
 def with_position(
     df: DataFrame,
     order: Sequence[Column],
     sums: Sequence[str] = (),
+    group: Sequence[str] = (),
 ) -> DataFrame:
     """Number the rows 0, 1, 2, ... in ``order`` and add running sums.
 
-    Adds ``_index``, ``_total`` (rows in all) and for every ``c`` in ``sums``
-    ``_upto_c``, the sum of ``c`` over all rows up to and including this one;
-    ``_part`` and ``_pos`` stay. ``order`` should be unique, otherwise equal rows
-    are numbered arbitrarily.
+    Adds ``_index`` and for every ``c`` in ``sums`` ``_upto_c``, the sum of ``c``
+    over all rows up to and including this one; without ``group`` also ``_total``,
+    the number of rows. With ``group`` numbers and sums restart in every group.
+    ``order`` should be unique, otherwise equal rows are numbered arbitrarily.
     """
+    if group:
+        return _with_group_position(df, list(group), order, sums)
     staged = sorted_parts(df, order)
     per_part = staged.groupBy(PART).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in sums])
@@ -85,16 +94,59 @@ def with_position(
     inside = Window.partitionBy(PART).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     rows = staged.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
     joined = rows.join(F.broadcast(offsets), PART)
-    running = {
-        f"_upto_{c}": F.when(F.col(f"_before_{c}").isNull(), F.col(f"_in_{c}"))
-        .otherwise(F.col(f"_before_{c}") + F.coalesce(F.col(f"_in_{c}"), F.lit(0)))
-        for c in sums
-    }
-    return (
-        joined.withColumn(INDEX, F.col(POS) + F.col("_before"))
-        .withColumns(running)
-        .drop("_before", *[f"_before_{c}" for c in sums], *[f"_in_{c}" for c in sums])
+    return joined.select(
+        *df.columns, (F.col(POS) + F.col("_before")).alias(INDEX), TOTAL,
+        *[_added(F.col(f"_before_{c}"), F.col(f"_in_{c}")).alias(f"_upto_{c}") for c in sums])
+
+
+def _added(before: Column, here: Column) -> Column:
+    """before + here as SUM adds: NULL only if both are."""
+    return F.when(before.isNull(), here).otherwise(before + F.coalesce(here, F.lit(0)))
+
+
+def _with_group_position(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], sums: Sequence[str]
+) -> DataFrame:
+    """``with_position`` per group.
+
+    Sorted by group first, only the first group of a partition can have rows in
+    earlier ones, where it is the last group. What it had collected there is the
+    sum over those last groups, worked out on one row per partition.
+    """
+    staged = sorted_parts(df, [*(F.col(g).asc() for g in group), *order])
+    own = F.struct(*group)
+    counted = {"n": F.count(F.lit(1)), **{c: F.sum(c) for c in sums}}
+
+    first = staged.filter(F.col(POS) == 0).select(PART, own.alias("_first"))
+    last = _last_rows(staged, own.alias("_last"))
+    tail = (
+        staged.join(F.broadcast(last.withColumnRenamed("_last", "_of")), PART)
+        .filter(own.eqNullSafe(F.col("_of")))
+        .groupBy(PART).agg(*[v.alias(f"_tail_{n}") for n, v in counted.items()])
     )
+    same_group = Window.partitionBy("_last").orderBy(PART).rowsBetween(
+        Window.unboundedPreceding, 0)
+    by_part = Window.orderBy(PART)
+    collected = first.join(last, PART).join(tail, PART).select(
+        PART, "_first", "_last",
+        *[F.sum(f"_tail_{n}").over(same_group).alias(f"_all_{n}") for n in counted])
+    goes_on = F.lag("_last").over(by_part).eqNullSafe(F.col("_first"))
+    carried = collected.select(
+        PART, "_first",
+        *[F.when(goes_on, F.lag(f"_all_{n}").over(by_part)).alias(f"_carry_{n}")
+          for n in counted])
+
+    inside = Window.partitionBy(PART, *group).orderBy(POS).rowsBetween(
+        Window.unboundedPreceding, 0)
+    rows = staged.withColumns({f"_in_{n}": v.over(inside) for n, v in counted.items()})
+    joined = rows.join(F.broadcast(carried), PART)
+
+    def upto(n: str) -> Column:
+        return _added(F.when(own.eqNullSafe(F.col("_first")), F.col(f"_carry_{n}")),
+                      F.col(f"_in_{n}"))
+
+    return joined.select(
+        *df.columns, (upto("n") - 1).alias(INDEX), *[upto(c).alias(f"_upto_{c}") for c in sums])
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_num") -> DataFrame:
@@ -134,14 +186,10 @@ def ranks(
     """
     cumulative = cumulative or {}
     group = list(group)
-    counted = {"_rows": F.count(F.lit(1))}
-    for c in cumulative:
-        counted |= {f"_sum_{c}": F.sum(c), f"_known_{c}": F.count(c)}
-    distinct = df.groupBy(*group, key).agg(*[e.alias(n) for n, e in counted.items()])
-    sums = [n for n in counted if rank or n != "_rows"]
-    placed = with_position(
-        distinct, [*(F.col(g).asc() for g in group), direction(key, descending)], sums)
-    placed = _from_group_start(placed, group, sums)
+    distinct = df.groupBy(*group, key).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum_{c}") for c in cumulative])
+    sums = [*(["_rows"] if rank else []), *[f"_sum_{c}" for c in cumulative]]
+    placed = with_position(distinct, [direction(key, descending)], sums, group)
 
     out = []
     if rank:
@@ -149,7 +197,7 @@ def ranks(
     if dense_rank:
         out.append((F.col(INDEX) + 1).alias(dense_rank))
     for c, name in cumulative.items():
-        out.append(F.when(F.col(f"_upto__known_{c}") > 0, F.col(f"_upto__sum_{c}")).alias(name))
+        out.append(F.col(f"_upto__sum_{c}").alias(name))
     return _null_safe(df, placed.select(*group, key, *out), [*group, key], "inner")
 
 
@@ -167,12 +215,9 @@ def with_group_values(
     group = list(group)
     inside = Window.partitionBy(PART, *group)
     local = parts.withColumns({n: v.over(inside) for n, v in values.items()})
-    ends = parts.groupBy(PART).agg(F.min(POS).alias("_lo"), F.max(POS).alias("_hi"))
-    border = (
-        parts.select(PART, POS, *group).join(F.broadcast(ends), PART)
-        .filter((F.col(POS) == F.col("_lo")) | (F.col(POS) == F.col("_hi")))
-        .select(*group).distinct()
-    )
+    ends = parts.filter(F.col(POS) == 0).select(*group).unionByName(
+        _last_rows(parts, *[F.col(g) for g in group]).select(*group))
+    border = ends.distinct()
     whole = (
         _null_safe(parts, F.broadcast(border), group, "inner")
         .groupBy(*group).agg(*[v.alias(f"_whole_{n}") for n, v in values.items()])
@@ -183,18 +228,6 @@ def with_group_values(
     ).drop(*[f"_whole_{n}" for n in values])
 
 
-def _from_group_start(placed: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Make ``_index`` and the running sums count from the first row of each group."""
-    if not group:
-        return placed
-    before = {INDEX: F.min(INDEX)} | {
-        f"_upto_{c}": F.min_by(
-            F.coalesce(F.col(f"_upto_{c}"), F.lit(0)) - F.coalesce(F.col(c), F.lit(0)), INDEX)
-        for c in sums}
-    started = with_group_values(placed, group, {f"_start{n}": v for n, v in before.items()})
-    return started.withColumns({n: F.col(n) - F.col(f"_start{n}") for n in before})
-
-
 def global_rank(df: DataFrame, key: str, name: str = "rank", descending: bool = True) -> DataFrame:
     """RANK over the whole table, with gaps after ties."""
     return ranks(df, key, descending=descending, rank=name)
@@ -228,13 +261,8 @@ def running_total(
 
     ``order`` should end with a unique column.
     """
-    group = list(group)
-    known = df.withColumn("_known", F.col(value).isNotNull().cast("int"))
-    sums = [value, "_known"]
-    placed = with_position(known, [*(F.col(g).asc() for g in group), *order], sums)
-    placed = _from_group_start(placed, group, sums)
-    total = F.when(F.col("_upto__known") > 0, F.col(f"_upto_{value}"))
-    return placed.select(*df.columns, total.alias(name))
+    placed = with_position(df, order, [value], group)
+    return placed.select(*df.columns, F.col(f"_upto_{value}").alias(name))
 
 
 def lag_in_parts(parts: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
@@ -243,9 +271,8 @@ def lag_in_parts(parts: DataFrame, group: Sequence[str], value: str, name: str)
     The first row of a partition takes over from the last row of the one before.
     """
     row = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)], F.col(value).alias("v"))
-    last = parts.groupBy(PART).agg(F.max(POS).alias(POS))
-    ends = parts.join(F.broadcast(last), [PART, POS]).select(PART, row.alias("_end"))
-    carried = ends.select(PART, F.lag("_end").over(Window.orderBy(PART)).alias("_carry"))
+    carried = _last_rows(parts, row.alias("_end")).select(
+        PART, F.lag("_end").over(Window.orderBy(PART)).alias("_carry"))
     before = F.lag(row).over(Window.partitionBy(PART).orderBy(POS))
     joined = parts.withColumn("_prev", before).join(F.broadcast(carried), PART)
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
