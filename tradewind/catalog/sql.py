@@ -135,11 +135,11 @@ SELECT * FROM master_rows UNION ALL SELECT * FROM master_rows WHERE customer_id
     "clean_master": """
 SELECT DISTINCT * FROM master WHERE email IS NOT NULL""",
     "batch": """
-SELECT CASE WHEN c_custkey % 10 = 2 THEN c_custkey + 10000000 ELSE c_custkey END AS customer_id,
+SELECT CASE WHEN c_custkey % 3 = 2 THEN c_custkey + 10000000 ELSE c_custkey END AS customer_id,
   c_name AS name, concat('customer', CAST(c_custkey AS VARCHAR), '@example.com') AS email,
-  CASE WHEN c_custkey % 10 = 0 THEN 'MOVED' ELSE c_mktsegment END AS city,
+  CASE WHEN c_custkey % 3 = 0 THEN 'MOVED' ELSE c_mktsegment END AS city,
   'active' AS status, DATE '2001-02-01' AS updated_at
-FROM customer WHERE c_custkey % 10 < 3""",
+FROM customer""",
     "active_orders": "SELECT * FROM shop_orders WHERE status <> 'CANCELLED'",
     "active_facts": """
 SELECT i.*, o.customer_id, o.order_date, o.region_code

@@ -245,12 +245,12 @@ class Retail:
 
     @cached_property
     def batch(self) -> DataFrame:
-        """A third of a batch moved, a third touched only, a third new."""
+        """One row per customer: a third moved, a third only touched, a third new."""
         key = F.col("c_custkey")
-        return self.table("customer").filter(key % 10 < 3).select(
-            F.when(key % 10 == 2, key + 10000000).otherwise(key).alias("customer_id"),
+        return self.table("customer").select(
+            F.when(key % 3 == 2, key + 10000000).otherwise(key).alias("customer_id"),
             F.col("c_name").alias("name"),
             F.concat(F.lit("customer"), key.cast("string"), F.lit("@example.com")).alias("email"),
-            F.when(key % 10 == 0, "MOVED").otherwise(F.col("c_mktsegment")).alias("city"),
+            F.when(key % 3 == 0, "MOVED").otherwise(F.col("c_mktsegment")).alias("city"),
             F.lit("active").alias("status"),
             F.lit("2001-02-01").cast("date").alias("updated_at"))
