@@ -123,3 +123,15 @@ def test_in_days_includes_the_whole_last_day(spark):
     ("", True), (None, True)])
 def test_invalid_email(spark, email, bad):
     assert one(spark, email, "string", C.invalid_email) is bad
+
+
+# Published shares and growth rates with the numbers they come from.
+@pytest.mark.parametrize("part,whole,want", [
+    (69, 3627, "1.9%"), (43, 3254, "1.32%"), (69, 4031, "1.71%"), (48, 3924, "1.22%"),
+    (2, 13, "15.38%"), (1, 17, "5.88%"), (1, 10, "10.0%"), (3, 13, "23.08%"), (4, 18, "22.22%"),
+    (10094163.74 - 8264750.5, 8264750.5, "22.14%"),
+    (11224630.88 - 9701323.26, 9701323.26, "15.7%"),
+    (13396989.62 - 10102381.68, 10102381.68, "32.61%"), (1, 0, None)])
+def test_published_rates(spark, part, whole, want):
+    df = spark.createDataFrame([(float(part), float(whole))], "a double, b double")
+    assert df.select(C.percent_text(C.ratio("a", "b"))).first()[0] == want

@@ -114,14 +114,22 @@ def period_summary(items: DataFrame, orders: DataFrame, start: str, end: str) ->
 def period_top_products(
     items: DataFrame, orders: DataFrame, products: DataFrame, start: str, end: str, k: int = 3
 ) -> DataFrame:
-    """The ``k`` best products of a period by revenue, returns deducted."""
+    """The ``k`` best products of a period by revenue, returns deducted.
+
+    Every line has a known product, so the names are looked up for the ``k``
+    winners only.
+    """
+    order = [F.col("total_revenue").desc(), F.col("product_id").asc()]
     active = R.in_period(R.active_orders(orders), "order_date", start, end)
     sold = R.product_revenue(
         items, active, {"total_qty": F.sum(F.col("quantity").cast("long"))})
-    named = sold.join(products.select("product_id", "product_name"), "product_id").select(
-        "product_id", "product_name", "total_qty", C.money("revenue").alias("total_revenue"))
-    return ordering.top_k(
-        named, [F.col("total_revenue").desc(), F.col("product_id").asc()], k)
+    best = ordering.top_k(
+        sold.select("product_id", "total_qty", C.money("revenue").alias("total_revenue")),
+        order, k)
+    return (
+        products.select("product_id", "product_name").join(F.broadcast(best), "product_id")
+        .orderBy(*order)
+    )
 
 
 def monthly_sales_trend(line_sales: DataFrame) -> DataFrame:

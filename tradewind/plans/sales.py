@@ -33,13 +33,19 @@ def customer_revenue(items: DataFrame, orders: DataFrame, name: str = "revenue")
 def top_customers(
     items: DataFrame, orders: DataFrame, customers: DataFrame, k: int = 10
 ) -> DataFrame:
-    """The ``k`` customers with the highest order value."""
-    value = customer_revenue(items, orders).join(
-        customers.select("customer_id", "customer_name"), "customer_id")
-    return ordering.top_k(
-        value.select("customer_id", "customer_name",
-                     C.money("revenue").alias("total_order_value")),
-        [F.col("total_order_value").desc(), F.col("customer_id").asc()], k)
+    """The ``k`` customers with the highest order value.
+
+    Every order has a known customer, so the names are looked up for the ``k``
+    winners only.
+    """
+    order = [F.col("total_order_value").desc(), F.col("customer_id").asc()]
+    value = customer_revenue(items, orders).select(
+        "customer_id", C.money("revenue").alias("total_order_value"))
+    best = F.broadcast(ordering.top_k(value, order, k))
+    return (
+        customers.select("customer_id", "customer_name").join(best, "customer_id")
+        .select("customer_id", "customer_name", "total_order_value").orderBy(*order)
+    )
 
 
 def more_returned_than_bought(items: DataFrame, products: DataFrame) -> DataFrame:
