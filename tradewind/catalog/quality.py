@@ -15,6 +15,7 @@ from tradewind.operators import scd
 from tradewind.plans import cleaning, listing
 from tradewind.session import scratch_path
 from tradewind.sources import files
+from tradewind.streaming import incremental
 
 TRACKED = ("name", "email", "city", "status")
 
@@ -35,6 +36,17 @@ def _incremental(r: Retail) -> DataFrame:
     return files.read_csv(r.spark, path, r.batch.schema)
 
 
+def _streamed(r: Retail) -> DataFrame:
+    """The batch as CSV files, merged into the master by a stream."""
+    inbox, table = scratch_path(r.spark, "inbox"), scratch_path(r.spark, "master")
+    files.write_csv(r.batch, inbox)
+    incremental.first_load(scd.dim_clean(r.master), table)
+    batches = incremental.stream_batches(r.spark, inbox, r.batch.schema, files_per_batch=1000)
+    query = incremental.merge_stream(
+        batches, table, scratch_path(r.spark, "state"), incremental.merge_scd1("customer_id"))
+    return incremental.latest(r.spark, table, incremental.last_batch(query))
+
+
 def _checks(r: Retail) -> DataFrame:
     out = None
     for name, rules in schemas.CHECKS.items():
@@ -247,6 +259,9 @@ DIMENSIONS = [
               COUNT(*) FILTER (WHERE is_current) - COUNT(DISTINCT CASE WHEN is_current
                 THEN customer_id END) AS duplicate_keys FROM ({_SCD2_SQL})"""),
     Entry("SD-05", "incremental_read", _incremental, "SELECT * FROM batch"),
+    Entry("SD-05", "incremental_stream", _streamed,
+          """SELECT * FROM clean_master WHERE customer_id NOT IN (SELECT customer_id FROM batch)
+             UNION ALL SELECT * FROM batch"""),
 ]
 
 

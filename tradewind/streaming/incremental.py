@@ -12,12 +12,15 @@ from tradewind.operators import scd
 from tradewind.sources import files
 
 
-def stream_batches(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    """New CSV files in ``folder``, one file per micro-batch, so keys repeat only
-    between batches."""
+def stream_batches(
+    spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1
+) -> DataFrame:
+    """New CSV files in ``folder``; with one file per micro-batch a key may be in
+    several files. Every micro-batch rewrites the table, so take as many files at
+    once as are known not to share keys."""
     return (
         spark.readStream.schema(schema).option("header", True).option("escape", '"')
-        .option("maxFilesPerTrigger", 1).csv(folder)
+        .option("maxFilesPerTrigger", files_per_batch).csv(folder)
     )
 
 
@@ -55,6 +58,12 @@ def merge_stream(
     )
 
 
+def last_batch(query: StreamingQuery) -> int:
+    """Wait for the end and return the number of the last batch with rows, or -1."""
+    query.awaitTermination()
+    return max((p.batchId for p in query.recentProgress if p.numInputRows), default=-1)
+
+
 def merge_scd1(key: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
     return lambda target, source: scd.scd1_merge(target, source, key)
 
