@@ -22,6 +22,10 @@ def test_title_case_is_pythons(spark, name):
     assert one(spark, name, "string", C.title_case) == name.strip().title()
 
 
+def test_white_space_is_pythons():
+    assert C.WHITE_SPACE == "".join(c for c in map(chr, range(0x110000)) if c.isspace())
+
+
 def test_title_case_keeps_null(spark):
     assert one(spark, None, "string", C.title_case) is None
 
@@ -41,7 +45,15 @@ def test_week_key_is_strftime(spark):
     ("2025-06-05T10:11:12", dt.datetime(2025, 6, 5, 10, 11, 12)),
     ("2025/06/05", dt.datetime(2025, 6, 5)),
     ("6/5/2025", dt.datetime(2025, 6, 5)),
+    ("2025/06/05 10:11:12", dt.datetime(2025, 6, 5, 10, 11, 12)),
+    ("6/5/2025 10:11:12", dt.datetime(2025, 6, 5, 10, 11, 12)),
+    ("06-05-2025 10:11:12", dt.datetime(2025, 6, 5, 10, 11, 12)),
+    ("20250605", dt.datetime(2025, 6, 5)),
+    ("2025-06", dt.datetime(2025, 6, 1)),
     ("5 Jun 2025", dt.datetime(2025, 6, 5)),
+    ("5 June 2025", dt.datetime(2025, 6, 5)),
+    ("Jun 5, 2025", dt.datetime(2025, 6, 5)),
+    ("05-06-2025x", None), ("2025-13-01", None), ("2025-06-05 25:00:00", None),
     ("June 5, 2025", dt.datetime(2025, 6, 5)),
     ("31-02-2025", None), ("junk", None), ("", None), ("   ", None), (None, None),
 ])

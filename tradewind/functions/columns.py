@@ -7,15 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Layouts of dates that arrive as text. No text fits two of them, so
-# the most common one comes first.
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "d-M-yyyy")
-# Further layouts a general-purpose date parser accepts (month first).
+# Layouts of dates that arrive as text; parts in brackets may be
+# missing. No text fits two of them, so the most common one comes first.
+DATE_FORMATS = ("yyyy-MM-dd[ HH:mm:ss]", "d-M-yyyy")
+# Further layouts a general-purpose date parser accepts (month first), as the
+# optional parts of one pattern: a parser per layout would make the generated code
+# too long to be compiled.
 GENERAL_FORMATS = (
-    "yyyy/M/d", "yyyy/M/d HH:mm:ss", "M/d/yyyy", "M/d/yyyy HH:mm:ss",
-    "M-d-yyyy HH:mm:ss", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy",
-    "MMMM d, yyyy", "yyyyMMdd",
+    "[yyyy/M/d[ HH:mm:ss]][M/d/yyyy[ HH:mm:ss]][M-d-yyyy HH:mm:ss]"
+    "[d MMM yyyy][d MMMM yyyy][MMM d, yyyy][MMMM d, yyyy][yyyyMMdd]",
 )
+# The characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # The patterns of the cleaning rules.
 EMAIL_PATTERN = r"^[^@]+@[^@]+\.[^@]+$"
 DAY_FIRST_PATTERN = r"^\d{2}-\d{2}-\d{4}$"
@@ -164,17 +169,21 @@ def parse_timestamp(
 ) -> Column:
     """The first layout that fits wins; blank and junk become NULL."""
     text = strip(c)
-    tried = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    tried.append(text.try_cast("timestamp_ntz"))
-    tried += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in general]
-    return F.coalesce(*tried)
+
+    def tried(fmt: str) -> Column:
+        return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+
+    # a pattern of nothing but optional parts would fit the empty text
+    return F.coalesce(
+        *[tried(f) for f in formats], text.try_cast("timestamp_ntz"),
+        *[F.when(~is_blank(c), tried(f)) for f in general])
 
 
 # --- text ------------------------------------------------------------------
 
 def strip(c: str | Column) -> Column:
     """Cut white space of every kind at both ends, not only blanks."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.trim(_col(c), F.lit(WHITE_SPACE))
 
 
 def is_blank(c: str | Column) -> Column:
