@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import line_dedup
+from tradewind.llm import line_dedup, minhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return minhash.duplicate_groups(table(spark, folder, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Shared lines of all documents: what each document loses, and a digest of what stays."""
     out = line_dedup.drop_shared_lines(table(spark, folder, "documents"))
@@ -21,6 +26,7 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op6_line_dedup": op6_line_dedup,
 }
 
