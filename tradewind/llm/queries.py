@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import line_dedup, minhash
+from tradewind.llm import decontaminate, line_dedup, minhash, quality_rules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,15 +19,33 @@ def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.duplicate_groups(table(spark, folder, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Traits and verdict of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality_rules.judge(docs).drop("text")
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Shared lines of all documents: what each document loses, and a digest of what stays."""
     out = line_dedup.drop_shared_lines(table(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in passages of the benchmark, and the items concerned."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.mark(docs, table(spark, folder, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(names, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 SQL: dict[str, str] = {
@@ -48,4 +66,31 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op10_decontaminate": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT item_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+        FROM (SELECT item_id, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0))),
+dw AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+        FROM d, (SELECT DISTINCT size FROM bw) WHERE len(w) >= size)),
+hits AS (SELECT DISTINCT doc_id, i, size, item_id FROM dw JOIN bw USING (size, win)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS p FROM hits) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
 }
