@@ -1,17 +1,71 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Five stages, each working on all that the one before kept: quality rules drop texts that are
+probably junk, line dedup takes out lines that many documents share, MinHash near-dedup keeps one document of
+each group, decontamination cuts benchmark passages out, and best-fit packing places the rest. All but the
+last return the columns of ``documents``; ``n_chars`` follows the text. Extra columns pass through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradewind.llm import decontaminate, line_dedup, minhash, packing, quality_rules
+from tradewind.llm.queries import table, vocabulary
+from tradewind.session import stage
+
+
+def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns, with ``n_chars`` (if there is one) counted anew."""
+    return docs.select(*[F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
+                         for c in columns])
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules find good."""
+    columns = docs.columns
+    judged = quality_rules.judge(docs)
+    return judged.where(judged[judged.columns[-1]]).select(*columns)
+
+
+def unshared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many share; a text may end up empty."""
+    return _measured(line_dedup.drop_shared_lines(docs), docs.columns)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group; rows that repeat a doc_id, or have none, go."""
+    kept = minhash.duplicate_groups(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of benchmark items."""
+    return _measured(decontaminate.mark(docs, table(spark, sf_dir, "benchmark"), clean=True), docs.columns)
+
+
+def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 4096 tokens."""
+    return packing.pack(docs, vocabulary())
+
 
-#: (name, function): each takes (spark, docs, sf_dir); the next one reads what it wrote
-STAGES = []
+#: name and function, in order
+STAGES = [
+    ("quality_rules", good_documents),
+    ("line_dedup", unshared_lines),
+    ("minhash_dedup", distinct_documents),
+    ("decontaminate", clean_documents),
+    ("best_fit_packing", packed_documents),
+]
 
-#: the rules' verdicts are estimated and tokens come from a tokenizer: not for SQL
+#: estimated rule accuracies and a tokenizer cannot be written in SQL; tests use a brute-force version
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, work in STAGES[:-1]:
+        docs = stage(work(spark, docs, sf_dir), f"pipeline_{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, line_dedup, minhash, quality_rules
+from tradewind.llm import decontaminate, line_dedup, minhash, packing, quality_rules
+
+
+def vocabulary() -> str:
+    """The word-level vocabulary that the packing queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +26,11 @@ def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.duplicate_groups(table(spark, folder, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, packed into sequences of 4096 tokens."""
+    return packing.pack(table(spark, folder, "documents"), vocabulary())
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Traits and verdict of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -43,6 +55,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op10_decontaminate": op10_decontaminate,
