@@ -15,7 +15,8 @@ Candidates are confirmed on their full shingle sets. A pair at 85 % similarity c
 
 Large groups do not emit their pairs. The member of a list whose values are the most
 frequent sits in the middle of the group and is tried first against all others; what it links needs no
-further comparison with each other. Only members outside the list's largest linked group are joined with the list.
+further comparison with each other. Only members outside the list's largest linked group are compared again, in cells
+of bounded size that return one link for each component they reach.
 Before that, a bound removes what cannot link at all: shingles of one set alone are never
 shared, so a set that has more than 15 % of them has no partner, and a pair needs enough others on both sides.
 """
@@ -147,8 +148,8 @@ def _links(sets: DataFrame, percent: int, name: str) -> DataFrame:
     middle = F.max(F.struct("score", "node", "sig", "n", "common"))
     heads = stage(posts.groupBy("c", "v").agg(middle.alias("m"), F.count("*").alias("posted"))
                   .where("posted > 1").select("c", "v", F.col("m.node").alias("head"), F.col("m.sig").alias("hsig"),
-                                              F.col("m.n").alias("hn"), F.col("m.common").alias("hcommon"),
-                                              F.col("m.score").alias("hscore")), f"{name}_heads")
+                                              F.col("m.n").alias("hn"), F.col("m.common").alias("hcommon")),
+                  f"{name}_heads")
 
     def fits(n, common, other_n, other_common):
         # similarity needs that many common shingles, and neither side can give more than it shares at all
@@ -159,23 +160,101 @@ def _links(sets: DataFrame, percent: int, name: str) -> DataFrame:
              .where(_collisions(F.col("sig"), F.col("hsig")) >= MATCHES)
              .select(F.col("node").alias("u"), F.col("head").alias("v")).distinct())
     stars = stage(_confirmed(tried, sets, percent), f"{name}_stars")
-    # each set goes with its best linked head; sets with the same one need no comparison
-    by_head = heads.select(F.col("head").alias("v"), "hscore").distinct()
-    best = stars.join(by_head, "v").groupBy("u").agg(F.max(F.struct("hscore", "v")).alias("m"))
-    anchors = stage(sets.select("node", "score").join(best, F.col("node") == F.col("u"), "left")
-                    .select("node", F.when(F.col("m.hscore") > F.col("score"), F.col("m.v"))
-                            .otherwise(F.col("node")).alias("anchor")), f"{name}_anchors")
-    posts = stage(posts.join(anchors, "node"), f"{name}_anchored")
-    sizes = posts.groupBy("c", "v", "anchor").agg(F.count("*").alias("k"))
+    joined = components(stars, f"{name}_joined")
+    anchors = (sets.select("node").join(joined, F.col("node") == F.col("id"), "left")
+               .select("node", F.coalesce("component", "node").alias("anchor")))
+    anchors = stage(anchors, f"{name}_anchors")
+    listed = posts.select("c", "v", "node").join(anchors, "node")
+    listed = stage(listed, f"{name}_anchored")
+    sizes = listed.groupBy("c", "v", "anchor").agg(F.count("*").alias("k"))
     active = stage(sizes.groupBy("c", "v").agg(F.max(F.struct("k", "anchor")).alias("m"), F.count("*").alias("groups"))
                    .where("groups > 1").select("c", "v", F.col("m.anchor").alias("main")), f"{name}_active")
-    rows = posts.join(active, ["c", "v"])
-    rest = rows.where("anchor <> main").select("c", "v", *[F.col(x).alias(f"r_{x}") for x in (
-        "node", "anchor", "n", "common", "sig")])
-    pairs = (rest.join(rows, ["c", "v"])
-             .where((F.col("anchor") != F.col("r_anchor"))
-                    & ((F.col("anchor") == F.col("main")) | (F.col("r_node") < F.col("node")))
-                    & fits(*map(F.col, ("n", "common", "r_n", "r_common")))
-                    & (_collisions(F.col("sig"), F.col("r_sig")) >= MATCHES))
-             .select(F.col("r_node").alias("u"), F.col("node").alias("v")).distinct())
-    return stars.unionByName(_confirmed(pairs, sets, percent))
+    outside = stage(listed.join(active, ["c", "v"]).where("anchor <> main").select("main", "node").distinct(),
+                    f"{name}_outside")
+    sets = sets.select("node", "n", "sig", "set").join(anchors, "node")
+    return stars.unionByName(_outside_links(sets, outside, percent, name))
+
+
+#: shingles and sets at most on each side of a cell, on average
+CELL_SHINGLES, CELL_SETS = 1_000_000, 256
+
+
+def _outside_links(sets: DataFrame, outside: DataFrame, percent: int, name: str) -> DataFrame:
+    """Links (u, v) of the nodes outside a group with that group's members and with each other.
+
+    ``outside`` (main, node) names the nodes that share a list with group ``main``. Groups are cut into a grid of
+    cells of bounded size; a cell compares full sets in blocks and returns one link for each outside node and component.
+    """
+    outer = sets.join(outside, "node")
+    inner = (sets.join(outside.select("main").distinct(), F.col("anchor") == F.col("main"), "left_semi")
+             .withColumn("main", F.col("anchor")))
+
+    def cells(of):
+        return F.ceil(F.greatest(F.sum(F.col("n").cast("long")) / CELL_SHINGLES, F.count("*") / CELL_SETS)).cast("int").alias(of)
+
+    both = stage(outer.withColumn("outer", F.lit(True)).unionByName(inner.withColumn("outer", F.lit(False))), f"{name}_both")
+    grid = (both.where("outer").groupBy("main").agg(cells("rows"))
+            .join(both.groupBy("main").agg(cells("columns")), "main"))
+    both = both.join(stage(grid, f"{name}_grid"), "main")
+    at = F.xxhash64("node")
+    left = both.where("outer").withColumn("i", F.pmod(at, "rows").cast("int")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.col("columns") - 1))).withColumn("outer", F.lit(True))
+    right = both.withColumn("j", F.pmod(at, "columns").cast("int")).withColumn(
+        "i", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).withColumn("outer", F.lit(False))
+    columns = ["main", "i", "j", "outer", "node", "anchor", "sig", "set"]
+
+    def compare(table: pa.Table) -> pa.Table:
+        return _compare(table, percent)
+
+    return (left.select(*columns).unionByName(right.select(*columns)).groupBy("main", "i", "j")
+            .applyInArrow(compare, "u long, v long"))
+
+
+def _compare(table: pa.Table, percent: int) -> pa.Table:
+    outer = table.column("outer").to_numpy()
+    node, anchor = (table.column(c).to_numpy() for c in ("node", "anchor"))
+    sets = table.column("set").combine_chunks()
+    ends = sets.offsets.to_numpy()
+    values = sets.values.to_numpy()
+    sig = table.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+    a, b = np.flatnonzero(outer), np.flatnonzero(~outer)
+    shared = np.zeros((len(a), len(b)), np.float32)
+    for x, y, z in _columns(values, ends, a, b):
+        one, other = np.zeros((len(a), z), np.float32), np.zeros((len(b), z), np.float32)
+        one[x], other[y] = 1, 1
+        shared += one @ other.T
+    size = np.diff(ends)
+    near = 100 * shared >= percent * (size[a][:, None] + size[b][None, :] - shared)
+    near &= anchor[a][:, None] != anchor[b][None, :]
+    u, v = np.nonzero(near)
+    hit = (sig[a[u]] == sig[b[v]]).sum(1) >= MATCHES
+    u, v = u[hit], v[hit]
+    # a second link of a node into the same component adds nothing
+    _, first = np.unique(np.stack([u, anchor[b[v]]]), axis=1, return_index=True) if len(u) else (None, [])
+    return pa.table({"u": node[a[u[first]]] if len(u) else pa.array([], pa.int64()),
+                     "v": node[b[v[first]]] if len(u) else pa.array([], pa.int64())})
+
+
+def _columns(values: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray, width: int = 4096):
+    """Slices of the incidence matrices of two lists of sets, ``width`` shingles at a time."""
+    def flat(rows):
+        size = ends[rows + 1] - ends[rows]
+        take = np.arange(size.sum()) + np.repeat(ends[rows] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+        return values[take], np.repeat(np.arange(len(rows)), size)
+
+    (left, left_row), (right, right_row) = flat(a), flat(b)
+    known = np.intersect1d(left, right)
+    parts = []
+    for value, row in ((left, left_row), (right, right_row)):
+        at = np.searchsorted(known, value)
+        at = np.minimum(at, max(len(known) - 1, 0))
+        here = known[at] == value if len(known) else np.zeros(len(value), bool)
+        at, row = at[here], row[here]
+        order = np.argsort(at, kind="stable")
+        parts.append((at[order], row[order]))
+    for low in range(0, len(known), width):
+        cut = []
+        for at, row in parts:
+            x, y = np.searchsorted(at, [low, low + width])
+            cut.append((row[x:y], at[x:y] - low))
+        yield cut[0], cut[1], min(width, len(known) - low)
