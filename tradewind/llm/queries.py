@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, line_dedup, minhash, packing, quality_rules
+from tradewind.llm import decontaminate, html_text, line_dedup, minhash, packing, quality_rules, warc
 
 
 def vocabulary() -> str:
@@ -26,6 +26,12 @@ def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.duplicate_groups(table(spark, folder, "documents"))
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages, written as web archives, normalised and read back by offset."""
+    return warc.archive_pages(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, packed into sequences of 4096 tokens."""
     return packing.pack(table(spark, folder, "documents"), vocabulary())
@@ -43,6 +49,11 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in passages of the benchmark, and the items concerned."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -55,13 +66,25 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_warc": op2_warc,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op8_html_text": op8_html_text,
     "op10_decontaminate": op10_decontaminate,
 }
 
 SQL: dict[str, str] = {
+    "op2_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f""",
     "op6_line_dedup": r"""
 WITH held AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
