@@ -156,6 +156,10 @@ LABELLED = np.array([
     (60, 0.0, 12, 0.0, 45, 0.0, 0, 2, 1), (12, 0.0, 6, 0.0, 60, 0.0, 0, 2, 1), (2, 0.0, 80, 0.0, 30, 0.0, 0, 2, 1),
     (1, 0.0, 2, 0.0, 3, 0.0, 0, 2, 1), (35, 0.2, 40, 0.0, 3, 1.0, 0, 2, 1), (8, 0.0, 5, 1.0, 0, 0.0, 0, 2, 1),
     (5, 0.4, 50, 0.0, 6, 0.2, 0, 2, 1), (200, 0.1, 0, 0.0, 0, 0.0, 0, 2, 1), (3, 0.0, 0, 0.0, 0, 0.0, 0, 2, 1),
+    (20, 0.0, 50, 0.0, 1, 0.0, 0, 2, 1), (40, 0.0, 30, 0.0, 1, 0.0, 0, 2, 1), (6, 0.0, 70, 0.0, 0, 0.0, 0, 2, 1),
+    (1, 0.0, 60, 0.0, 50, 0.0, 0, 2, 1), (100, 0.0, 50, 0.0, 1, 0.0, 0, 2, 1), (1, 0.0, 90, 0.0, 0, 0.0, 0, 2, 1),
+    (9, 0.0, 35, 0.0, 2, 1.0, 0, 2, 1), (5, 0.0, 55, 0.0, 4, 1.0, 0, 2, 1), (2, 0.0, 3, 0.0, 2, 0.0, 0, 2, 1),
+    (4, 0.0, 2, 0.0, 5, 0.3, 0, 2, 1), (6, 0.1, 5, 0.2, 3, 0.0, 0, 2, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0, 2, 1),
     # runs of links within it
     (4, 1.0, 5, 1.0, 4, 1.0, 0, 2, 0), (3, 1.0, 40, 0.0, 3, 1.0, 0, 2, 0), (9, 1.0, 7, 1.0, 0, 0.0, 0, 2, 0),
     (2, 1.0, 2, 1.0, 90, 0.0, 0, 2, 0), (7, 0.95, 60, 0.0, 8, 0.9, 0, 2, 0),
@@ -171,6 +175,7 @@ LABELLED = np.array([
     (18, 0.0, 20, 0.0, 25, 0.0, 0, 1, 1), (90, 0.25, 2, 1.0, 4, 1.0, 0, 1, 1), (12, 0.0, 50, 0.0, 60, 0.0, 0, 1, 1),
     (3, 0.0, 45, 0.0, 70, 0.0, 0, 1, 1), (7, 0.0, 2, 1.0, 55, 0.0, 0, 1, 1), (9, 0.0, 4, 0.0, 80, 0.0, 0, 1, 1),
     (5, 0.0, 30, 0.1, 40, 0.0, 0, 1, 1), (4, 0.0, 60, 0.0, 30, 0.0, 0, 1, 1), (150, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1),
+    (30, 0.0, 60, 0.0, 0, 0.0, 0, 1, 1), (45, 0.0, 90, 0.0, 1, 0.0, 0, 1, 1), (20, 0.0, 35, 0.0, 2, 1.0, 0, 1, 1),
     (2, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0), (3, 1.0, 40, 0.0, 2, 1.0, 0, 1, 0), (5, 0.8, 4, 1.0, 60, 0.0, 0, 1, 0),
     (4, 0.0, 2, 1.0, 3, 1.0, 0, 1, 0), (6, 0.0, 0, 0.0, 2, 1.0, 0, 1, 0), (5, 0.0, 50, 0.0, 0, 0.0, 0, 1, 0),
     (25, 0.7, 30, 0.0, 20, 0.8, 0, 1, 0), (60, 0.9, 5, 0.0, 3, 1.0, 0, 1, 0), (8, 0.0, 6, 0.0, 4, 0.3, 0, 1, 0),
