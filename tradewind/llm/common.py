@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,22 +79,34 @@ def windows(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def number(df: DataFrame, keys: list[str], into: str, name: str) -> DataFrame:
-    """Number the rows of each key from 0 without gaps, in the order in which they are read.
+    """Number the rows of each key (none of them null) from 0 without gaps, in the order in which they are read.
 
-    A key may hold any share of the rows: rows are numbered within (key, partition),
-    and one small row for each of those pairs gives where a partition begins. The
-    rows are staged first, so that a partition never changes between the two steps.
+    A key may hold any share of the rows: each task counts its own rows of a key, and one small
+    row for each pair of task and key tells where a task begins. What a task counted is written
+    before it is used, so that a task run again cannot number rows in another way.
     """
-    part, order, base = (fresh(df, x) for x in ("_part", "_order", "_base"))
-    staged = stage(df.withColumn(part, F.spark_partition_id())
-                   .withColumn(order, F.monotonically_increasing_id()), name)
-    by = [*keys, part]
+    part, base = fresh(df, "_part"), fresh(df, "_base")
+    columns = df.columns
+
+    def count(batches):
+        seen: dict[tuple, int] = {}
+        task = TaskContext.get().partitionId()
+        for batch in batches:
+            if batch.num_rows:
+                own = pa.Table.from_batches([batch]).select(keys).to_pandas()
+                groups = own.groupby(keys, sort=False)
+                at = groups.cumcount().to_numpy(np.int64)
+                for key, rows in groups.indices.items():
+                    key = key if isinstance(key, tuple) else (key,)
+                    at[rows] += seen.get(key, 0)
+                    seen[key] = seen.get(key, 0) + len(rows)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at), pa.array(np.full(len(at), task, np.int32))],
+                                                 [*columns, into, part])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    staged = stage(df.mapInArrow(count, f"{kinds}, `{into}` long, `{part}` int"), name)
     before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (staged.groupBy(*by).agg(F.count("*").alias(base))
-              .withColumn(base, F.coalesce(F.sum(base).over(before), F.lit(0)))
-              .select(*[F.col(k).alias(f"{k}__s") for k in by], base))
-    local = F.row_number().over(Window.partitionBy(*by).orderBy(order)) - 1
-    match = [F.col(k).eqNullSafe(F.col(f"{k}__s")) for k in by]
-    return (staged.withColumn(into, local).join(starts, match)
-            .withColumn(into, (F.col(into) + F.col(base)).cast("long"))
-            .select(*df.columns, into))
+    starts = (staged.groupBy(*keys, part).agg(F.count("*").alias(base))
+              .withColumn(base, F.coalesce(F.sum(base).over(before), F.lit(0))))
+    return (staged.join(stage(starts, f"{name}_starts"), [*keys, part])
+            .withColumn(into, F.col(into) + F.col(base)).select(*columns, into))

@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, html_text, line_dedup, minhash, packing, quality_rules, warc
+from tradewind.llm import decontaminate, html_text, line_dedup, minhash, packing, quality_rules, ranking, resharding, warc
+
+from tradewind.session import scratch_path
+
+#: shards of the old layout (documents of a source together) and of the new one
+OLD_SHARDS, SHARDS = 12, 8
 
 
 def vocabulary() -> str:
@@ -43,6 +48,16 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(docs).drop("text")
 
 
+def op5_resharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, moved from shards by source to eight shards of equal row counts."""
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", resharding.old_shard(F.col("source"), OLD_SHARDS).alias("old_shard"))
+    placed, plan = resharding.reshard(docs, "old_shard", SHARDS)
+    out = resharding.rewrite(placed, plan, scratch_path(spark, "resharded"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Shared lines of all documents: what each document loses, and a digest of what stays."""
     out = line_dedup.drop_shared_lines(table(spark, folder, "documents"))
@@ -54,6 +69,11 @@ def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def op9_pairwise_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return ranking.rank(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in passages of the benchmark, and the items concerned."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -69,8 +89,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_resharding": op5_resharding,
     "op6_line_dedup": op6_line_dedup,
     "op8_html_text": op8_html_text,
+    "op9_pairwise_ranking": op9_pairwise_ranking,
     "op10_decontaminate": op10_decontaminate,
 }
 
