@@ -55,13 +55,21 @@ class Ids:
             pass
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(set(words) - self.known.keys())
-        got = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(
-            [w.decode() for w in new], add_special_tokens=False)), strict=True))
+        new = [w for w in set(words) if w not in self.known]
+        got = self._encoded(new)
         ids = b"".join([got.get(w) or self.known.get(w, b"") for w in words])
         self.known.update((w, i) for w, i in got.items() if len(w) <= LONGEST)
         return ids
 
+    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of each word, from one pass over all of them; offsets tell which word an id belongs to."""
+        plain = [w.decode() for w in words]
+        made = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(w) + 1 for w in plain)])
+        cuts = np.searchsorted(np.array([a for a, _ in made.offsets], np.int64), starts)
+        raw = np.array(made.ids, "<u4").tobytes()
+        return {w: raw[4 * a:4 * b] for w, a, b in zip(words, cuts.tolist(), cuts[1:].tolist(), strict=False)}
+
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for each piece of each row of ``docs`` (doc_id, text)."""
