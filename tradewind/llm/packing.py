@@ -15,6 +15,7 @@ numbered within their length without a sort, and each looks up its run.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from dataclasses import dataclass, field
@@ -29,8 +30,9 @@ from tradewind.session import stage
 
 CAPACITY, END = 4096, 1
 #: words whose ids a worker remembers, and the longest of them in bytes
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 600_000, 64
 _SHIFT = 40
+_STOP = re.compile(rb"(?<=[a-zA-Z])(?=[.,])")
 
 
 class Ids:
@@ -48,7 +50,11 @@ class Ids:
         self.known: dict[bytes, bytes] = {}
 
     def __call__(self, text: str | None) -> bytes:
-        words = text.encode().split() if text else []
+        raw = text.encode() if text else b""
+        if b"<|" not in raw:  # the vocabulary lower-cases, but not the strings of its special tokens
+            raw = raw.lower()
+        # a letter and the stop or comma after it are never in one token
+        words = _STOP.sub(b" ", raw).split()
         try:
             return b"".join([self.known[w] for w in words])
         except KeyError:
