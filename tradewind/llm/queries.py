@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, html_text, line_dedup, minhash, packing, quality_rules, ranking, resharding, warc
+from tradewind.llm import decontaminate, html_text, line_dedup, minhash, packing, pii, quality_rules, ranking, resharding, warc
 
 from tradewind.session import scratch_path
 
@@ -64,6 +64,14 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    found = pii.find(table(spark, folder, "documents")).drop("redacted")
+    kinds = F.split("base", ",")
+    counts = [F.size(F.filter(kinds, lambda x, k=k: x.startswith(f"{k}:"))).cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, folder, "pages"))
@@ -91,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_resharding": op5_resharding,
     "op6_line_dedup": op6_line_dedup,
+    "op7_pii": op7_pii,
     "op8_html_text": op8_html_text,
     "op9_pairwise_ranking": op9_pairwise_ranking,
     "op10_decontaminate": op10_decontaminate,
