@@ -1,0 +1,315 @@
+"""The text operators against brute force on small tables, and on nulls, empty and repeated rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tests.conftest import DATA
+from tradewind.llm import decontaminate, html_text, line_dedup, minhash, packing, pii, quality_rules, queries
+from tradewind.llm import ranking, resharding, warc
+
+TEXT = "doc_id long, text string, n_words string, lang string"
+LONG = " ".join(f"w{i % 977}x" for i in range(60_000))
+ODD = [(1, None, "x", None), (2, "", "x", "a"), (3, " \n\t", None, "a"), (4, "One two", "x", "a"), (4, "One two", "x", "a"),
+       (5, LONG, "x", "b"), (6, LONG.upper(), "x", "b"), (None, "no id here", "x", None), (7, "é" * 500, "x", "c")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, TEXT)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return {r.doc_id: r.text or "" for r in queries.table(spark, DATA, "documents").collect()}
+
+
+def by_id(df):
+    return {r[0]: r.asDict() for r in df.collect()}
+
+
+@pytest.mark.parametrize("key", sorted(queries.SQL))
+def test_sql(spark, key):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    df = queries.QUERIES[key](spark, DATA)
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.SQL[key]})").fetchall()
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(want, key=repr)
+
+
+def shingles(text):
+    w = text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).encode().split()
+    return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def brute_components(texts):
+    sets = {i: shingles(t) for i, t in texts.items()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def test_minhash(spark, docs):
+    got = by_id(queries.op1_minhash_dedup(spark, DATA))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(docs)
+    assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
+
+
+def test_minhash_families(spark, many_partitions):
+    """Copies of copies, more and more changed: links reach over several texts."""
+    rng = np.random.default_rng(3)
+    base = [f"v{rng.integers(400)}" for _ in range(150)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(int(rng.integers(0, 7))):
+            words[int(rng.integers(150))] = f"z{rng.integers(9)}"
+        rows.append((i, " ".join(words)))
+    got = by_id(minhash.duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(dict(rows))
+
+
+def test_minhash_odd(odd, spark):
+    rows = sorted(map(tuple, minhash.duplicate_groups(odd).collect()), key=repr)
+    assert [(r[0], r[1] > 0, r[2], r[3]) for r in rows] == [
+        (1, False, 1, True), (2, False, 2, True), (3, False, 3, True), (4, True, 4, True), (4, True, 4, True),
+        (5, True, 5, True), (6, True, 5, False), (7, True, 7, True), (None, True, None, False)]
+    assert minhash.duplicate_groups(odd.limit(0)).count() == 0
+
+
+def test_warc(spark):
+    body = "x" * 100
+    pages = spark.createDataFrame([(3, "u\r\nv", body), (1, "%0A", body), (2, None, body[1:]), (4, "w", body[1:]), (5, "e", ""), (6, "n", None),
+                                   (None, "q", "é" * 60)], "page_id long, url string, html string")
+    rows = sorted(map(tuple, warc.archive_pages(pages).select("page_id", "url", "record_type", "payload_bytes", "refers_to").collect()), key=repr)
+    assert rows == [(1, "%0A", "response", 100, None), (2, "", "response", 99, None), (3, "u\r\nv", "revisit", 100, 1),
+                    (4, "w", "response", 99, None), (5, "e", "response", 0, None), (6, "n", "response", 0, None),
+                    (None, "q", "response", 120, None)]
+    assert warc.archive_pages(pages.limit(0)).count() == 0
+
+
+def test_warc_chunks():
+    raw = [warc.record(i, f"u{i}", b"\r\n\r\n" * i, hashlib.sha256(b"").hexdigest(), None) for i in range(40)]
+    whole = b"".join(raw)
+    for size in (1, 7, 1000, len(whole)):
+        assert list(warc.split(whole[i:i + size] for i in range(0, len(whole), size))) == raw
+    with pytest.raises(ValueError):
+        list(warc.split([whole[:-3]]))
+
+
+def test_packing(spark, docs):
+    from tokenizers import Tokenizer
+
+    rows = queries.op3_best_fit_packing(spark, DATA).collect()
+    tokenizer = Tokenizer.from_file(queries.vocabulary())
+    want = set()
+    for i, t in docs.items():
+        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4")
+        want |= {(i, k, s, len(ids[s:s + 4096]), zlib.crc32(ids[s:s + 4096].tobytes())) for k, s in enumerate(range(0, len(ids), 4096))}
+    assert {tuple(r)[:5] for r in rows} == want and len(rows) == len(want)
+    check_sequences(rows)
+    made = packing.sequences(queries.op3_best_fit_packing(spark, DATA), queries.table(spark, DATA, "documents"), queries.vocabulary())
+    assert sum(len(r.ids) for r in made.collect()) == sum(r.length for r in rows)
+
+
+def check_sequences(rows):
+    at = defaultdict(list)
+    for r in rows:
+        at[r.sequence_id].append((r.offset, r.length))
+    for parts in at.values():
+        parts.sort()
+        assert [a for a, _ in parts] == list(np.cumsum([0, *(n for _, n in parts[:-1])]))
+        assert sum(n for _, n in parts) <= 4096
+    assert len(at) <= 1.02 * -(-sum(r.length for r in rows) // 4096) + 1
+
+
+def test_packing_odd(odd):
+    rows = packing.pack(odd, queries.vocabulary()).collect()
+    check_sequences(rows)
+    assert Counter(r.doc_id for r in rows if r.piece == 0) == Counter(r[0] for r in ODD)
+    assert packing.pack(odd.limit(0), queries.vocabulary()).count() == 0
+
+
+@pytest.mark.parametrize("text", ["<|endoftext|> A<|endoftext|>b", "it's, they're. x.'s %, %. a.b. é, É. İstanbul ﬁ é \x85 \x1c b c", "1,000.5 A.B.C., ...,,. don't.,"])
+def test_ids(text):
+    from tokenizers import Tokenizer
+
+    want = Tokenizer.from_file(queries.vocabulary()).encode(text, add_special_tokens=False).ids
+    assert packing.Ids(queries.vocabulary())(text) == np.array(want, "<u4").tobytes()
+
+
+def test_plan_places_everything():
+    rng = np.random.default_rng(1)
+    counts = {int(n): int(rng.integers(1, 50)) for n in rng.integers(1, 4097, 900)}
+    made = packing.plan(counts)
+    size = Counter()
+    for n, c in counts.items():
+        seq, off = made.place(np.full(c, n), np.arange(c))
+        for s, o in zip(seq.tolist(), off.tolist(), strict=True):
+            size[s] += n
+            assert o + n <= 4096
+    assert max(size.values()) <= 4096 and len(size) == made.sequences
+
+
+def test_quality_traits(docs):
+    for t in [*docs.values(), "", "a b c d e a b c d e", "x\nx\n \n \nx"]:
+        w = t.encode().split()
+        win = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+        n = Counter(win)
+        hit = {j for i, x in enumerate(win) if n[x] > 1 for j in range(i, i + 5)}
+        full = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        got = quality_rules.traits(t)
+        assert (got.n_words, got.n_repeat_words, got.n_dup_lines, got.n_symbols, got.word_chars) == (
+            len(w), len(hit), len(full) - len(set(full)), len(re.findall(r"[#*$%&|<>]", t)), sum(len(x.decode()) for x in w))
+
+
+def test_quality_verdicts(spark, odd):
+    labels = {r.doc_id: r.quality for r in queries.table(spark, DATA, "labels").collect()}
+    got = [r for r in queries.op4_quality_rules(spark, DATA).collect() if r.doc_id in labels]
+    assert sum(not r.kept for r in got if labels[r.doc_id] and not r.base_failed) <= 1
+    assert sum(r.kept for r in got if not labels[r.doc_id]) <= 2
+    out = quality_rules.judge(odd)
+    assert out.columns == ["doc_id", "text", "n_words", "lang", "n_words_", *list(quality_rules.ADDED)[1:]]
+    assert out.count() == len(ODD) and quality_rules.judge(odd.limit(0)).count() == 0
+
+
+def test_resharding(spark, docs, odd):
+    rows = queries.op5_resharding(spark, DATA).collect()
+    assert {(r.doc_id, r.size, r.text_crc32) for r in rows} == {
+        (i, len(t.encode()) + 1, zlib.crc32(t.encode())) for i, t in docs.items()}
+    shards = defaultdict(list)
+    for r in rows:
+        shards[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in shards.values())
+    assert max(map(len, shards.values())) - min(map(len, shards.values())) <= 1
+    placed, plan = resharding.reshard(odd.withColumn("o", F.lit(0)), "o", 4)
+    assert placed.count() == len(ODD) and sorted(Counter(r.shard for r in placed.collect()).values()) == [2, 2, 2, 3]
+    empty, plan = resharding.reshard(odd.limit(0).withColumn("o", F.lit(0)), "o", 4)
+    assert empty.count() == 0 and plan.moved() == 0
+
+
+def test_flow_is_cheapest():
+    # shard 0 has four rows too many; the small ones move
+    plan = resharding.solve({(0, 1): (5, 10), (0, 9): (5, 5000), (1, 4): (2, 32)}, 2)
+    assert plan.moved() == 4 and dict(plan.moves[0, 1])[1] == 4 and plan.moves[0, 9] == [(0, 5)]
+    assert resharding.solve({(0, 1): (3, 6), (1, 1): (3, 6)}, 2).affected() == set()
+
+
+def test_line_dedup_odd(odd, spark):
+    out = line_dedup.drop_shared_lines(odd)
+    assert out.count() == len(ODD) and out.columns[:4] == ["doc_id", "text", "n_words", "lang"]
+    line = "a line that is quite long and that many documents share"
+    rows = [(i, f"own {i}\n  {line.title()}\t\n{line}") for i in range(6)] + [(9, None)]
+    got = by_id(line_dedup.drop_shared_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [got[i]["text"] for i in (0, 5, 9)] == ["own 0", rows[5][1], ""]
+    assert (got[0]["n_lines"], got[0]["n_dropped"], got[5]["n_dropped"], got[9]["n_lines"]) == (3, 2, 0, 1)
+
+
+def base_by_patterns(x):
+    digits = re.compile(r"[^0-9]")
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", x)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", x) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", x)
+            if 12 <= len(digits.sub("", m[0])) <= 19 and pii.luhn(digits.sub("", m[0]))]
+    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", x) if 9 <= len(digits.sub("", m[0])) <= 15]
+    return sorted(out)
+
+
+def test_pii(spark, docs, odd):
+    rows = by_id(queries.op7_pii(spark, DATA))
+    texts = [*docs.values(), "a@b.c@d.e.f a@@b.c x..@y.z. @a.b", "1.2.3.45.6.7.8 999.1.1.1 0001.2.3.4 +1 (555) 555-5555+49 30 1234567"]
+    assert all(pii.base_spans(t) == base_by_patterns(t) for t in texts)
+    for i, t in docs.items():
+        want = pii.written(base_by_patterns(t))
+        assert rows[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+        assert set(filter(None, want.split(","))) <= set(rows[i]["spans"].split(","))
+        assert rows[i]["n_email"] == want.count("email:") and rows[i]["n_card"] == want.count("card:")
+    judge = pii.train()
+    found = {t: [pii.KINDS[k] for _, k, _ in pii.spans(t, judge)[1]] for t in (
+        "My SSN is 123-45-6789, ok", "write to john.smith (at) example (dot) com today", "see version 12.345.678 page",
+        'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" x')}
+    assert list(found.values()) == [["ssn"], ["email"], [], ["secret"]]
+    assert pii.find(odd).count() == len(ODD) and pii.find(odd.limit(0)).count() == 0
+
+
+def test_html(spark):
+    rows = queries.op8_html_text(spark, DATA).collect()
+    pages = {r.page_id: r.html for r in queries.table(spark, DATA, "pages").collect()}
+    import html
+    for r in rows:
+        article = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S)[1]
+        want = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:p|h1)>", article)]
+        assert r.text == "\n".join(filter(None, want)) and r.n_chars == len(r.text)
+    tree = html_text.train(html_text.LABELLED)
+    assert html_text.main_text(None, tree) == "" == html_text.main_text("<p", tree)
+    long = "many words that tell a story of foxes and dogs " * 3
+    page = (f"<div class=cookie-notice>{long}</div><div><h1>A &lt;b&gt;</h1><p>{long}<p>Short.<p>{long}</div>"
+            f"<div id=comments><p>{long}</div><form>{long}</form>")
+    assert html_text.main_text(page, tree) == f"A <b>\n{long.strip()}\nShort.\n{long.strip()}"
+
+
+def test_ranking(spark, odd):
+    rows = by_id(queries.op9_pairwise_ranking(spark, "/root/testdata/sf0.01"))
+    labels = {r.doc_id: r.quality for r in queries.table(spark, "/root/testdata/sf0.01", "labels").collect()}
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in rows.items())
+    assert all(r["predicted"] == (r["score"] >= 0.7) for r in rows.values())
+    held = [(rows[i]["predicted"], q) for i, q in labels.items() if rows[i]["held_out"]]
+    assert sum(a == b for a, b in held) >= 0.95 * len(held)
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in ranking.rank(odd, none).collect()} == {0.5}
+
+
+def test_decontaminate(spark, odd):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    bench = spark.createDataFrame([(1, item), (2, "tiny item"), (3, None), (4, "")], "item_id long, text string")
+    texts = [(1, f"x {item.upper()} y"), (2, "a tiny, item b tiny tiny item item"), (3, " ".join(item.split()[:9])), (4, None),
+             (5, f"{' '.join(item.split()[:5])} {item} {' '.join(item.split()[5:])} end")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    for block in (2_000_000, 1):
+        got = by_id(decontaminate.mark(df, bench, block_words=block))
+        assert [(got[i]["n_words"], got[i]["spans"], got[i]["items"]) for i in range(1, 5)] == [
+            (13, [[1, 12]], [1]), (8, [[1, 3], [5, 7]], [2]), (9, [], []), (0, [], [])]
+        clean = by_id(decontaminate.mark(df, bench, clean=True, block_words=block))
+        # the words left around the span of the last text make the passage again, so they go too
+        assert [re.sub(r"\s+", " ", clean[i]["text"]).strip() for i in (1, 2, 5)] == ["x y", "a b", "end"]
+    assert decontaminate.mark(odd, bench).count() == len(ODD)
+    assert decontaminate.mark(odd, bench.limit(0)).where(F.size("spans") > 0).count() == 0
+
+
+def test_pipeline(spark):
+    docs = queries.table(spark, DATA, "documents")
+    columns = docs.columns
+    for name, work in corpus_pipeline.STAGES[:-1]:
+        docs = work(spark, docs, DATA).cache()
+        assert docs.columns == columns, name
+        rows = docs.collect()
+        assert all(r.n_chars == len(r.text) for r in rows)
+    bench = decontaminate.Windows([tuple(r) for r in queries.table(spark, DATA, "benchmark").select("item_id", "text").collect()])
+    assert not any(decontaminate.occurrences([r.text for r in rows], bench)[2])
+    packed = corpus_pipeline.run(spark, DATA).collect()
+    check_sequences(packed)
+    assert {r.doc_id for r in packed} == {r.doc_id for r in rows}
+    found = brute_components({r.doc_id: r.text for r in corpus_pipeline.STAGES[2][1](
+        spark, corpus_pipeline.unshared_lines(spark, corpus_pipeline.good_documents(spark, queries.table(spark, DATA, "documents"), DATA), DATA),
+        DATA).collect()})
+    assert all(i == c for i, (_, c) in found.items())
