@@ -71,9 +71,9 @@ PROJECTIONS = [
           lambda r: r.sales(product=True).filter(F.col("category") == "ECONOMY").select(LINE),
           "SELECT row_id, order_id, sales FROM sales_lines WHERE category = 'ECONOMY'"),
     Entry("PR-09", "filter_range",
-          lambda r: r.product_listing.filter(F.col("initial_price") > 5000).select(
+          lambda r: r.product_listing.filter(F.col("initial_price") > 910).select(
               "product_id", "initial_price"),
-          "SELECT product_id, initial_price FROM product_listing WHERE initial_price > 5000"),
+          "SELECT product_id, initial_price FROM product_listing WHERE initial_price > 910"),
     Entry("PR-10", "filter_and",
           lambda r: r.sales(region=True, product=True).filter(
               (F.col("category") == "PROMO") & (F.col("region") == "ASIA")

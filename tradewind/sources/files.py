@@ -54,8 +54,11 @@ def write_csv(df: DataFrame, path: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> DataFrame:
-    """One CSV file, for small results only: call it after the aggregation."""
-    return write_csv(df.coalesce(1), path)
+    """One CSV file, for small results only: call it after the aggregation.
+
+    The rows are gathered by an exchange, so the work above it stays parallel.
+    """
+    return write_csv(df.repartition(1), path)
 
 
 def _refuse_own_input(df: DataFrame, path: str) -> None:
