@@ -118,9 +118,12 @@ def duplicate_groups(docs: DataFrame, percent: int = 85, name: str = "minhash")
 
 def _candidate_sets(docs: DataFrame, distinct: DataFrame, percent: int, name: str) -> DataFrame:
     """The sets that share enough lists and shingles to have a partner, with their prefix lists."""
+    # next to the node, 64 bits of the key tell the texts of a repeated doc_id apart
+    distinct = distinct.withColumn("key", F.xxhash64("key"))
     posts = distinct.select("node", "key", F.posexplode("sig").alias("c", "v"))
     lists = stage(posts.groupBy("c", "v").agg(F.count("*").alias("posted")).where("posted > 1"), f"{name}_lists")
-    shared = (posts.join(lists, ["c", "v"]).groupBy("node", "key")
+    # dealt out as plain rows, which are smaller than the lists that each task would begin
+    shared = (posts.join(lists, ["c", "v"]).repartition("node", "key").groupBy("node", "key")
               .agg(F.sort_array(F.collect_list(F.struct("posted", "c", "v"))).alias("lists"),
                    F.sum(F.log("posted")).alias("score"))
               .where(F.size("lists") >= MATCHES))
@@ -128,7 +131,8 @@ def _candidate_sets(docs: DataFrame, distinct: DataFrame, percent: int, name: st
     shared = stage(shared.withColumn("prefix", F.expr(f"slice(lists, 1, size(lists) - {MATCHES - 1})"))
                    .select("node", "key", "prefix", "score"), f"{name}_shared")
     texts = docs.join(shared.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    made = map_texts(texts, "text", "node long, key binary, set array<long>", _sets).dropDuplicates(["node", "key"])
+    made = map_texts(texts, "text", "node long, key binary, set array<long>", _sets)
+    made = made.withColumn("key", F.xxhash64("key")).dropDuplicates(["node", "key"])
     sets = stage(made.join(shared, ["node", "key"]), f"{name}_sets")
     alone = (sets.select("node", F.explode("set").alias("s")).groupBy("s")
              .agg(F.count("*").alias("held"), F.min("node").alias("node")).where("held = 1")
