@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 
 from tradewind.functions import columns as C
+from tradewind.operators.quality import normalise_date
 
 
 def one(spark, value, kind, expression):
@@ -55,12 +56,36 @@ def test_week_key_is_strftime(spark):
     ("Jun 5, 2025", dt.datetime(2025, 6, 5)),
     ("05-06-2025x", None), ("2025-13-01", None), ("2025-06-05 25:00:00", None),
     ("June 5, 2025", dt.datetime(2025, 6, 5)),
+    ("25/12/2024", dt.datetime(2024, 12, 25)), ("12-25-2024", dt.datetime(2024, 12, 25)),
+    ("2024.12.25", dt.datetime(2024, 12, 25)), ("Dec 25 2024", dt.datetime(2024, 12, 25)),
+    ("12/25/24", dt.datetime(2024, 12, 25)), ("25-Dec-2024", dt.datetime(2024, 12, 25)),
+    ("25 Dec 2024 10:00", dt.datetime(2024, 12, 25, 10)),
+    ("2024/12/25 10:00", dt.datetime(2024, 12, 25, 10)),
+    ("12/25/2024 10:00 PM", dt.datetime(2024, 12, 25, 22)),
+    ("12/25/2024 12:30 am", dt.datetime(2024, 12, 25, 0, 30)),
+    ("December 25, 2024 10:00:00", dt.datetime(2024, 12, 25, 10)),
+    ("12/25/2024 13:00 PM", None), ("Decem 25 2024", None), ("12/25/202412/25/2024", None),
     ("31-02-2025", None), ("junk", None), ("", None), ("   ", None), (None, None),
 ])
 def test_parse_timestamp(spark, text, want):
     assert one(spark, text, "string", C.parse_timestamp) == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("05-06-2025", dt.date(2025, 5, 6)), ("25-06-2025", dt.date(2025, 6, 25)),
+    ("2025-06-05", dt.date(2025, 6, 5)), ("unknown", None)])
+def test_registration_dates_are_month_first(spark, text, want):
+    got = normalise_date(spark.createDataFrame([(text,)], "v string"), "v").collect()
+    assert [r.v for r in got] == ([want] if want else [])
+
+
+@pytest.mark.parametrize("day,want", [
+    (dt.date(2024, 2, 29), dt.date(2023, 3, 1)), (dt.date(2024, 3, 31), dt.date(2023, 3, 31)),
+    (None, None)])
+def test_months_before(spark, day, want):
+    assert one(spark, day, "date", lambda c: C.months_before(c, 12)) == want
+
+
 @pytest.mark.parametrize("text,want", [
     ("9/8/2016", dt.date(2016, 9, 8)), ("12/31/2017", dt.date(2017, 12, 31)), ("13/1/2017", None)])
 def test_parse_date_text(spark, text, want):

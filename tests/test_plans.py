@@ -99,3 +99,16 @@ def test_order_totals_reuse_the_join_partitioning(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning(order_id") == 2
+
+
+def test_top_k_fills_up_beyond_unknown_keys(retail):
+    best = [r.customer_id for r in sales.top_customers(
+        retail.items, retail.orders, retail.customers, 6).collect()]
+    known = retail.customers.filter(~F.col("customer_id").isin(best[:3]))
+    got = sales.top_customers(retail.items, retail.orders, known, 3).collect()
+    assert [r.customer_id for r in got] == best[3:]
+    period = (retail.items, retail.orders, retail.products, "1996-01-01", "1996-12-31")
+    best = [r.product_id for r in periods.period_top_products(*period, k=6).collect()]
+    known = retail.products.filter(~F.col("product_id").isin(best[:3]))
+    got = periods.period_top_products(*period[:2], known, *period[3:], k=3).collect()
+    assert [r.product_id for r in got] == best[3:]

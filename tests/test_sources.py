@@ -96,6 +96,10 @@ def test_merge_stream(spark, tmp_path):
             str(tmp_path / "state"),
             incremental.merge_scd2("customer_id", ["city"], "updated_at"))
         query.awaitTermination()
-    got = incremental.latest(spark, table, 1)
+    again = incremental.merge_stream(
+        incremental.stream_batches(spark, inbox, schemas.CUSTOMER_BATCH), table,
+        str(tmp_path / "state"), incremental.merge_scd2("customer_id", ["city"], "updated_at"))
+    assert incremental.last_batch(again) == -1  # nothing new, and nothing lost
+    got = incremental.newest(spark, table)
     assert sorted((r.customer_id, r.city, r.is_current) for r in got.collect()) == [
         (1, "Bonn", True), (1, "Oslo", False), (1, "Rome", False), (2, "Oslo", True)]

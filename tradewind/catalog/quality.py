@@ -44,7 +44,8 @@ def _streamed(r: Retail) -> DataFrame:
     batches = incremental.stream_batches(r.spark, inbox, r.batch.schema, files_per_batch=1000)
     query = incremental.merge_stream(
         batches, table, scratch_path(r.spark, "state"), incremental.merge_scd1("customer_id"))
-    return incremental.latest(r.spark, table, incremental.last_batch(query))
+    query.awaitTermination()
+    return incremental.newest(r.spark, table)
 
 
 def _checks(r: Retail) -> DataFrame:

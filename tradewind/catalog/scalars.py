@@ -53,8 +53,8 @@ ENTRIES = [
     Entry("SC-07", "date_of_timestamp",
           lambda r: r.table("events").select("event_id", F.to_date("ts").alias("result")),
           "SELECT event_id, CAST(ts AS DATE) AS result FROM events"),
-    Entry("SC-08", "a_year_before", _on_orders(lambda: F.add_months(F.to_date(DATE), -12)),
-          _orders("CAST(CAST(order_date AS DATE) - INTERVAL 12 MONTH AS DATE)")),
+    Entry("SC-08", "a_year_before", _on_orders(lambda: C.months_before(DATE, 12)),
+          _orders("CAST(date_trunc('month', order_date) - INTERVAL 12 MONTH AS DATE) + CAST(day(order_date) - 1 AS INT)")),
     Entry("SC-09", "fractional_days",
           lambda r: r.table("events").select(
               "event_id", C.days_between("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))

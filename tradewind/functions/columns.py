@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 # Layouts of dates that arrive as text; parts in brackets may be
 # missing. No text fits two of them, so the most common one comes first.
 DATE_FORMATS = ("yyyy-MM-dd[ HH:mm:ss]", "d-M-yyyy")
-# Further layouts a general-purpose date parser accepts (month first), as the
-# optional parts of one pattern: a parser per layout would make the generated code
-# too long to be compiled.
-GENERAL_FORMATS = (
-    "[yyyy/M/d[ HH:mm:ss]][M/d/yyyy[ HH:mm:ss]][M-d-yyyy HH:mm:ss]"
-    "[d MMM yyyy][d MMMM yyyy][MMM d, yyyy][MMMM d, yyyy][yyyyMMdd]",
-)
+# Names of months; the first three letters will do as well.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
+          "october", "november", "december")
+# Any other date: three parts, one of them perhaps a month's name, then perhaps a time of day.
+GENERAL_PATTERN = (
+    r"^(\d{1,4}|[A-Za-z]{3,9})[\s,./-]+(\d{1,2}|[A-Za-z]{3,9})[\s,./-]+(\d{1,4})"
+    r"(?:,?[T\s]+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?\s*([AaPp][Mm])?)?$")
 # The characters that count as white space.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -162,21 +162,51 @@ def parse_date_text(c: str | Column, fmt: str = "M/d/yyyy") -> Column:
     return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("date")
 
 
-def parse_timestamp(
-    c: str | Column,
-    formats: Sequence[str] = DATE_FORMATS,
-    general: Sequence[str] = GENERAL_FORMATS,
-) -> Column:
-    """The first layout that fits wins; blank and junk become NULL."""
+def parse_general(c: str | Column) -> Column:
+    """Dates of any usual layout: year first, or month first unless that is above 12, or a named month.
+
+    Two-digit years are those of 1976 to 2075; a time of day may follow. NULL if it cannot be read.
+    """
+    text = F.regexp_replace(strip(c), r"^(\d{4})(\d{2})(\d{2})$", "$1/$2/$3")
+    first, second, third, hour, minute, seconds, half = (
+        F.regexp_extract(text, GENERAL_PATTERN, i) for i in range(1, 8))
+
+    def whole(part: Column) -> Column:
+        return part.try_cast("int")
+
+    year_first = first.rlike(r"^\d{4}$")
+    day_first = second.rlike("[A-Za-z]") | (whole(first) > 12)
+    year = F.when(year_first, first).otherwise(third)
+    month = F.lower(F.when(year_first | day_first, second).otherwise(first))
+    day = F.when(year_first, third).when(day_first, first).otherwise(second)
+    names = [m[:3] for m in MONTHS]
+    month = F.when(
+        month.isin(*names, *MONTHS, "sept"),
+        F.array_position(F.array(*map(F.lit, names)), F.substring(month, 1, 3)).cast("int")
+    ).otherwise(whole(month))
+    year = (
+        F.when(F.length(year) == 4, whole(year))
+        .when(F.length(year) == 2, whole(year) + F.when(whole(year) > 75, 1900).otherwise(2000)))
+    hour = (
+        F.when(hour == "", 0).when(half == "", whole(hour))
+        .when(whole(hour).between(1, 12),
+              whole(hour) % 12 + F.when(F.lower(half) == "pm", 12).otherwise(0)))
+    return F.try_make_timestamp_ntz(
+        year, month, whole(day), hour, F.coalesce(whole(minute), F.lit(0)),
+        F.coalesce(seconds.try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)")))
+
+
+def parse_timestamp(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """The first of ``formats`` that fits wins, then ISO 8601, then the general layouts; blank and junk become NULL."""
     text = strip(c)
+    tried = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(*tried, text.try_cast("timestamp_ntz"), parse_general(c))
 
-    def tried(fmt: str) -> Column:
-        return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
 
-    # a pattern of nothing but optional parts would fit the empty text
-    return F.coalesce(
-        *[tried(f) for f in formats], text.try_cast("timestamp_ntz"),
-        *[F.when(~is_blank(c), tried(f)) for f in general])
+def months_before(c: str | Column, months: int) -> Column:
+    """The same day ``months`` earlier; a day that month lacks runs over into the next one (29 February to 1 March)."""
+    day = F.to_date(_col(c))
+    return F.date_add(F.add_months(F.trunc(day, "month"), -months), F.dayofmonth(day) - 1)
 
 
 # --- text ------------------------------------------------------------------

@@ -101,8 +101,8 @@ def reset_out_of_range(
 
 
 def normalise_date(df: DataFrame, column: str) -> DataFrame:
-    """Text to date; rows that cannot be read are dropped."""
-    return df.withColumn(column, C.parse_timestamp(column).cast("date")).filter(
+    """Text to date by the general layouts alone (month first); rows that cannot be read are dropped."""
+    return df.withColumn(column, C.parse_timestamp(column, formats=()).cast("date")).filter(
         F.col(column).isNotNull())
 
 

@@ -65,7 +65,7 @@ def in_period(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
 def last_months(df: DataFrame, column: str, months: int = 12) -> DataFrame:
     """Rows from ``months`` months before the newest date in the data on."""
     newest = df.agg(F.max(column)).scalar()
-    return df.filter(F.col(column) >= F.add_months(F.to_date(newest), -months))
+    return df.filter(F.col(column) >= C.months_before(newest, months))
 
 
 def above_average(df: DataFrame, column: str) -> DataFrame:

@@ -116,13 +116,13 @@ def period_top_products(
 ) -> DataFrame:
     """The ``k`` best products of a period by revenue, returns deducted.
 
-    Every line has a known product, so the names are looked up for the ``k``
-    winners only.
+    Lines of unknown products do not count. Names are looked up for the ``k`` winners only.
     """
     order = [F.col("total_revenue").desc(), F.col("product_id").asc()]
     active = R.in_period(R.active_orders(orders), "order_date", start, end)
     sold = R.product_revenue(
         items, active, {"total_qty": F.sum(F.col("quantity").cast("long"))})
+    sold = sold.join(products.select("product_id"), "product_id", "left_semi")
     best = ordering.top_k(
         sold.select("product_id", "total_qty", C.money("revenue").alias("total_revenue")),
         order, k)

@@ -35,12 +35,12 @@ def top_customers(
 ) -> DataFrame:
     """The ``k`` customers with the highest order value.
 
-    Every order has a known customer, so the names are looked up for the ``k``
-    winners only.
+    Orders of unknown customers do not count. Names are looked up for the ``k`` winners only.
     """
     order = [F.col("total_order_value").desc(), F.col("customer_id").asc()]
     value = customer_revenue(items, orders).select(
         "customer_id", C.money("revenue").alias("total_order_value"))
+    value = value.join(customers.select("customer_id"), "customer_id", "left_semi")
     best = F.broadcast(ordering.top_k(value, order, k))
     return (
         customers.select("customer_id", "customer_name").join(best, "customer_id")

@@ -33,6 +33,14 @@ def latest(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
     return files.read_parquet(spark, _version(folder, batch_id + 1))
 
 
+def newest(spark: SparkSession, folder: str) -> DataFrame:
+    """The table as last written in full, whatever the stream that wrote it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    marks = path(f"{folder.rstrip('/')}/version=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    return files.read_parquet(spark, max(f.getPath().getParent().toString() for f in found))
+
+
 def first_load(df: DataFrame, folder: str) -> DataFrame:
     return files.write_parquet(df, _version(folder, 0))
 
