@@ -296,6 +296,21 @@ def test_decontaminate(spark, odd):
     assert decontaminate.mark(odd, bench.limit(0)).where(F.size("spans") > 0).count() == 0
 
 
+def test_decontaminate_blocks(spark):
+    """Overlapping items in different blocks, and cuts that join the words of another block's item."""
+    w = [f"k{i}" for i in range(40)]
+    items = [(1, " ".join(w[:12])), (2, " ".join(w[6:18])), (3, " ".join(w[20:32])), (None, " ".join(w[15:27])), (5, "q r")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    nested = " ".join([*w[20:25], *w[:6], "q", *w[:12], "r", *w[6:12], *w[25:32]])
+    rows = [(1, "a " + " ".join(w) + " z"), (1, None), (2, nested), (3, "clean"), (4, "q Q, r R"), (5, " ".join(w[6:18]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for clean in (False, True):
+        one, many = (sorted(map(tuple, decontaminate.mark(df, bench, clean=clean, block_words=b).collect()), key=repr) for b in (2_000_000, 30))
+        assert one == many and any(r[4] == [1, 2, 3] for r in one)
+    windows = decontaminate.Windows(items)
+    assert not any(decontaminate.occurrences([r[1] for r in many], windows)[2])
+
+
 def test_pipeline(spark):
     docs = queries.table(spark, DATA, "documents")
     columns = docs.columns

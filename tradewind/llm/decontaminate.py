@@ -9,13 +9,15 @@ turned into its Burrows-Wheeler transform, a wavelet matrix for ranks, and sampl
 * each row of a matching range walks back to a sampled position, which gives its occurrence;
 * overlapping occurrences merge into the spans to remove.
 
-The benchmark is read in blocks of at most ``BLOCK_WORDS`` words, one pass over the documents for each, so
-what a task holds is bounded whatever the size of the benchmark. Documents never move between tasks.
+The benchmark is read in blocks of about ``BLOCK_WORDS`` words, one pass over the documents for each. With several
+blocks a pass writes only what it finds, so that the driver and a task hold one block at a time, and nothing is cut
+before all blocks have been searched. With one block documents never move between tasks.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import fresh, small
+from tradewind.session import stage
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
@@ -199,13 +202,20 @@ def without(text: str, spans: list[list]) -> str:
     return "".join([*out, text[last:]])
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> list[Windows]:
+def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
     whole = benchmark.schema["item_id"].dataType.simpleString() in _WHOLE
     sized = benchmark.select(F.col("item_id").cast("long" if whole else "string"), "text").where("text is not null")
     total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // (2 * block_words)))  # a word has two bytes at least, its blank included
-    return [Windows([tuple(r) for r in sized.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b).collect()])
-            for b in range(n)]
+    if n == 1:
+        return [sized]
+    number = F.pmod(F.xxhash64("item_id"), F.lit(n))
+    used = sized.select(number.alias("b")).distinct().collect()
+    return [sized.where(number == b) for b in sorted(r.b for r in used)]
+
+
+def _windows(block: DataFrame) -> Windows:
+    return Windows([tuple(r) for r in block.collect()])
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, clean: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -216,39 +226,104 @@ def mark(docs: DataFrame, benchmark: DataFrame, clean: bool = False, block_words
     had before. Null texts have no words and stay null; rows are handled one by one, so repeated
     rows get equal results; an empty benchmark hits nothing, and items without ``item_id`` cut their
     words but are not listed. Other columns pass through; an added column whose name is taken gets a ``_`` suffix.
+    The results do not depend on ``block_words``.
     """
-    n_words, spans, items = (fresh(docs, x) for x in ("n_words", "spans", "items"))
+    added = tuple(fresh(docs, x) for x in ("n_words", "spans", "items"))
     plain = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     item_type = "long" if benchmark.schema["item_id"].dataType.simpleString() in _WHOLE else "string"
-    schema = ", ".join([*plain, f"`{n_words}` long, `{spans}` array<array<long>>, `{items}` array<{item_type}>"])
-    for number, bench in enumerate(_blocks(benchmark, block_words)):
-        docs = docs.mapInArrow(_marker(bench, number, docs.columns, (n_words, spans, items), item_type, clean), schema)
-    return docs
+    blocks = _blocks(benchmark, block_words)
+    if len(blocks) > 1:
+        return _mark_in_rounds(docs, blocks, added, item_type, clean)
+    schema = ", ".join([*plain, f"`{added[0]}` long, `{added[1]}` array<array<long>>, `{added[2]}` array<{item_type}>"])
+    return docs.mapInArrow(_marker(_windows(blocks[0]), docs.columns, added, item_type, clean), schema)
 
 
-def _marker(bench: Windows, number: int, columns: list[str], added: tuple[str, ...], item_type: str,
-            clean: bool):
+def _marker(bench: Windows, columns: list[str], added: tuple[str, ...], item_type: str, clean: bool):
     def run(batches):
         for batch in small(batches, "text", SHARD_BYTES):
             texts = batch.column(columns.index("text")).to_pylist()
             n_words, found, spans = occurrences(texts, bench)
-            items = [sorted((x for x in f if x is not None)) for f in found]
-            arrays, n_words = list(batch.columns), n_words.tolist()
-            if number:
-                before = [batch.column(columns.index(x)).to_pylist() for x in added]
-                spans = [_merged(a + b) for a, b in zip(before[1], spans, strict=True)] if not clean else [
-                    a or b for a, b in zip(before[1], spans, strict=True)]
-                items = [sorted({*a, *b}) for a, b in zip(before[2], items, strict=True)]
-                n_words, arrays = before[0], arrays[:-3]
+            arrays = list(batch.columns)
             if clean:
                 arrays[columns.index("text")] = pa.array(_cleaned(texts, bench), arrays[columns.index("text")].type)
-            kinds = (pa.int64(), pa.list_(pa.list_(pa.int64())))
-            made = [pa.array(n_words, kinds[0]), pa.array(spans, kinds[1]),
-                    pa.array(items, pa.list_(pa.int64() if item_type == "long" else pa.string()))]
-            yield pa.RecordBatch.from_arrays([*arrays, *made], [c for c in columns if c not in added] + list(added))
+            made = [pa.array(n_words, pa.int64()), pa.array(spans, _SPANS), pa.array(_listed(found), _items(item_type))]
+            yield pa.RecordBatch.from_arrays([*arrays, *made], [*columns, *added])
     return run
 
 
+_SPANS = pa.list_(pa.list_(pa.int64()))
+
+
+def _items(item_type: str) -> pa.DataType:
+    return pa.list_(pa.int64() if item_type == "long" else pa.string())
+
+
+def _listed(found: list[dict]) -> list[list]:
+    return [sorted(x for x in f if x is not None) for f in found]
+
+
+def _mark_in_rounds(docs: DataFrame, blocks: list[DataFrame], added: tuple[str, ...], item_type: str, clean: bool) -> DataFrame:
+    """``mark`` with several blocks: a round searches all of them in the same texts, then cuts; the next one takes the cut texts only."""
+    row, cut = fresh(docs, "_row"), fresh(docs, "_cut")
+    columns = docs.columns
+    at = columns.index("text")
+
+    def counted(batches):
+        for batch in small(batches, "text", SHARD_BYTES):
+            n_words = [len(words(t)) for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_words, pa.int64())], [*columns, added[0]])
+
+    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    whole = stage(docs.mapInArrow(counted, f"{plain}, `{added[0]}` long").withColumn(row, F.monotonically_increasing_id()),
+                  "decontaminate_rows")
+    now = whole.select(F.col(row).alias("row"), "text")
+    hits = first = _hits(now, blocks, item_type)
+    settled = []
+    while clean and not hits.isEmpty():
+        now = stage(now.join(hits.select("row", "spans"), "row").mapInArrow(_cut, "row long, text string"), "decontaminate_cut")
+        hits = _hits(now, blocks, item_type)
+        settled.append(now.join(hits, "row", "left_anti"))
+    out = whole.join(first.select(F.col("row").alias(row), F.col("spans").alias(added[1]), F.col("items").alias(added[2])), row, "left")
+    if settled:
+        texts = reduce(DataFrame.unionByName, settled)
+        out = (out.join(texts.select(F.col("row").alias(row), F.col("text").alias(cut)), row, "left")
+               .withColumn("text", F.coalesce(cut, "text")))
+    empty = {added[1]: "array<array<bigint>>", added[2]: f"array<{item_type}>"}
+    return out.select(*columns, added[0], *[F.coalesce(c, F.array().cast(kind)).alias(c) for c, kind in empty.items()])
+
+
+def _hits(texts: DataFrame, blocks: list[DataFrame], item_type: str) -> DataFrame:
+    """row, spans and items of the ``texts`` (row, text) in which any block has a window."""
+    schema = f"row long, spans array<array<long>>, items array<{item_type}>"
+    found = [stage(texts.mapInArrow(_finder(_windows(block), item_type), schema), "decontaminate_found") for block in blocks]
+    every = (reduce(DataFrame.unionByName, found).groupBy("row")
+             .agg(F.flatten(F.collect_list("spans")).alias("spans"),
+                  F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
+
+    def merge(batches):
+        for batch in batches:
+            spans = [_merged(x) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, _SPANS), batch.column(2)], ["row", "spans", "items"])
+
+    return stage(every.mapInArrow(merge, schema), "decontaminate_hits")
+
+
+def _finder(bench: Windows, item_type: str):
+    def run(batches):
+        for batch in small(batches, "text", SHARD_BYTES):
+            _, found, spans = occurrences(batch.column(1).to_pylist(), bench)
+            made = pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(spans, _SPANS), pa.array(_listed(found), _items(item_type))], ["row", "spans", "items"])
+            yield made.filter(pa.array([bool(s) for s in spans], pa.bool_()))
+    return run
+
+
+def _cut(batches):
+    for batch in small(batches, "text", SHARD_BYTES):
+        texts = [without(t, s) for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
+
+
 def _merged(spans: list[list]) -> list[list]:
     out: list[list] = []
     for a, b in sorted(spans):
