@@ -252,6 +252,19 @@ def test_pii(spark, docs, odd):
     assert pii.find(odd).count() == len(ODD) and pii.find(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [300, 512, 1000, 5000])
+def test_pii_long_secrets(n):
+    rng, judge = np.random.default_rng(n), pii.train()
+    for letters in ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"):
+        secret = "".join(letters[i] for i in rng.integers(0, len(letters), n))
+        for text in (f'the token = "{secret}" is used', f"api_key: {secret}", f"password: eyJhbGciOiJIUzI1NiJ9.{secret}.{secret[:43]} ok"):
+            a, b = text.index(secret), text.index(secret) + n
+            assert any(k == 4 and x <= a and b <= y for x, k, y in pii.spans(text, judge)[1]), (n, text[:30])
+    digits = "4111111111111111"
+    secret = "".join("abcdef"[i] for i in rng.integers(0, 6, n)) + digits + "abcdef" * 20
+    assert (7, 4, 7 + len(secret)) in pii.spans(f"token: {secret} x", judge)[1]
+
+
 def test_html(spark):
     rows = queries.op8_html_text(spark, DATA).collect()
     pages = {r.page_id: r.html for r in queries.table(spark, DATA, "pages").collect()}

@@ -73,8 +73,8 @@ _SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:@|[(\[{ ] ?at ?[)\]} ]) ?[A-Z
 _NATIONAL = re.compile(r"(?<![\w+.,-])(?:\(\d{2,5}\) ?|\d{2,5}[ ./-])\d{3,4}[ .-]?\d{2,5}(?![\w-])")
 _SSN = re.compile(r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_NAMED = re.compile(r"(?:token|secret|key|password|passwd|pwd|auth|bearer)[\"']? ?[:=] ?[\"']?([^\s\"']{8,256})", re.I)
-_HEX = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,128}(?![0-9A-Za-z])")
+_NAMED = re.compile(r"(?:token|secret|key|password|passwd|pwd|auth|bearer)[\"']? ?[:=] ?[\"']?([^\s\"']{8,}+)", re.I)
+_HEX = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,}+(?![0-9A-Za-z])")
 
 
 def candidates(text: str) -> set[tuple[int, int, int]]:
@@ -151,10 +151,19 @@ def examples(seed: int = 7, each: int = 160) -> tuple[np.ndarray, np.ndarray, np
     signs = {0: ["mail me: ", "contact ", "write to ", "reach me: "], 3: ["call ", "phone: ", "tel. ", "mobile ", "dial ", "fax "],
              4: ['token = "', "api_key: ", 'secret = "', "password: ", "auth="], 5: ["SSN ", "SSN: ", "social security number "],
              6: ["IBAN ", "account ", "bank transfer to "]}
+    def run(n, letters="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"):
+        return "".join(letters[i] for i in rng.integers(0, len(letters), n))
+
+    def length():
+        return int(2 ** rng.uniform(7, 12.5))
+
+    # keys and tokens of any length
+    long = {4: lambda: pick([hexes(length()), run(length()), f"eyJ{run(33)}.eyJ{run(length())}.{run(43)}"])}
+    forms = [*((kind, real, fake, each) for kind in FOR), (4, long, long, each // 2)]
     rows, truth, kinds = [], [], []
-    for kind in FOR:
-        for i in range(2 * each):
-            good = i < each
+    for kind, real, fake, many in forms:
+        for i in range(2 * many):
+            good = i < many
             span = (real if good else fake)[kind]()
             plain = [" ".join(word() for _ in range(3)) + " ", *(f"{a} " for a in AGAINST)]
             strong = {0: 0.5, 3: 0.9, 4: 0.97, 5: 0.8, 6: 0.6}[kind]
@@ -243,16 +252,25 @@ def train(rounds: int = 40, depth: int = 3, rate: float = 0.3) -> Judge:
 
 
 def spans(text: str, judge: Judge) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Base spans, and all spans: added ones overlap neither the base nor a likelier one."""
+    """Base spans, and all spans: added ones overlap neither the base nor a likelier one.
+
+    A secret may hold base spans, such as a card number within a long key, that make up less than half of it.
+    """
     base = base_spans(text)
-    taken, out = [(a, b) for a, _, b in base], list(base)
+    taken, out = [], list(base)
     judged = []
+
+    def beside_base(start: int, kind: int, end: int) -> bool:
+        hit = [(a, b) for a, _, b in base if a < end and start < b]
+        return not hit or (kind == 4 and all(start <= a and b <= end for a, b in hit)
+                           and 2 * sum(b - a for a, b in hit) < end - start)
+
     for start, kind, end in candidates(text):
         p = judge.probability(describe(text, start, kind, end))
         if p >= judge.least[kind]:
             judged.append((-p, start, kind, end))
     for _, start, kind, end in sorted(judged):
-        if all(end <= a or b <= start for a, b in taken):
+        if beside_base(start, kind, end) and all(end <= a or b <= start for a, b in taken):
             taken.append((start, end))
             out.append((start, kind, end))
     return base, sorted(out)
