@@ -265,6 +265,17 @@ def test_pii_long_secrets(n):
     assert (7, 4, 7 + len(secret)) in pii.spans(f"token: {secret} x", judge)[1]
 
 
+@pytest.mark.parametrize("text, want", [
+    ("write to jane.doe (at) example.com today", "jane.doe (at) example.com"), ("jane [at] mail.example.org", "jane [at] mail.example.org"),
+    ("contact jane at example.com. Please do", "jane at example.com"), ("mail me: jane.doe@example dot com", "jane.doe@example dot com"),
+    ("reach me: jane (at) example (dot) co (dot) uk", "jane (at) example (dot) co (dot) uk"), ("contact jane (@) example.com", "jane (@) example.com"),
+    ("write to john at " + "x" * 60 + " dot " + "y" * 60 + " dot com now", "john at " + "x" * 60 + " dot " + "y" * 60 + " dot com"),
+    ("see the version at nodes.js there", None), ("he stayed at home. Then he left", None)])
+def test_pii_written_out_mail(text, want):
+    found = [text[a:b] for a, k, b in pii.spans(text, pii.train())[1]]
+    assert found == ([want] if want else [])
+
+
 def test_html(spark):
     rows = queries.op8_html_text(spark, DATA).collect()
     pages = {r.page_id: r.html for r in queries.table(spark, DATA, "pages").collect()}
