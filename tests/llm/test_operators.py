@@ -292,6 +292,22 @@ def test_html(spark):
     assert html_text.main_text(page, tree) == f"A <b>\n{long.strip()}\nShort.\n{long.strip()}"
 
 
+@pytest.mark.parametrize("page, want", [
+    *((f'<{tag} class="{names}"><h1>Head</h1><p>{{0}}<p>{{0}}</{tag}>', "Head\n{0}\n{0}")
+      for names in ("post-12 type-post category-social", "entry tag-search", "content with-sidebar", "site-content has-sidebar", "post social")
+      for tag in ("article", "main", "div") if tag != "div" or names != "post social"),
+    ('<div class="page social"><article><p>{0}</article></div>', "{0}"), ('<div id="sidebar"><main><p>{0}</main>{0}</div>', "{0}"),
+    ('<div data-id="menu" data-role="search" data-hidden><p>{0}<p>{0}</div>', "{0}\n{0}"),
+    ('<article><p>{0}<div class="comments"><article>{0} c</article></div></article>', "{0}"),
+    ('<article><p>{0}</article><div id=comments><article>{0} c</article></div>', "{0}"),
+    ('<main role="search"><p>{0}</main><div class="site-footer">{0}</div><div class="widget-area left-sidebar">{0}</div>', ""),
+    ('<article class="comment-list" hidden>{0}</article><p>{0}</p>', "{0}")])
+def test_html_names(page, want):
+    long = "many words that tell a story of foxes and dogs " * 3
+    tree = html_text.train(html_text.LABELLED)
+    assert html_text.main_text(page.format(long), tree) == want.format(long.strip())
+
+
 def test_ranking(spark, odd):
     rows = by_id(queries.op9_pairwise_ranking(spark, "/root/testdata/sf0.01"))
     labels = {r.doc_id: r.quality for r in queries.table(spark, "/root/testdata/sf0.01", "labels").collect()}

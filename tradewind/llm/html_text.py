@@ -29,17 +29,26 @@ BLOCKS = frozenset(
 #: these never hold the article
 ASIDE = frozenset("nav footer aside form dialog menu button label head fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
-#: words in class or id that name such a part
-PARTS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|"
+_PART = (
+    r"(?:ads?|advert[a-z]*+|adsense|sponsor[a-z]*+|promo[a-z]*+|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|"
     r"footer|masthead|topbar|toolbar|share|sharing|social|related|recommended|comments?|commentlist|disqus|replies|reply|respond|"
     r"cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|"
-    r"pagination|pager|widget|skip|copyright|legal|disclaimer|tags|author-bio|byline-links)(?:$|[\s_-])", re.I)
-HEAD = re.compile(r"(?:^|[\s_-])(?:header|site-header|page-header)(?:$|[\s_-])", re.I)
+    r"pagination|pager|widget|skip|copyright|legal|disclaimer|tags|author-bio|byline-links)")
+#: words that place such a part, and words for the box or the items it consists of
+_PLACE = (r"(?:site|page|main|post|entry|article|blog|global|top|bottom|left|right|primary|secondary|inner|outer|mobile|desktop|sticky|"
+          r"fixed|floating|js|wp|block|section|user|email|mail|google|breaking|privacy)")
+_BOX = (r"(?:content|wrap|wrapper|container|box|area|block|list|inner|outer|section|links?|bar|items?|form|buttons?|icons?|text|title|"
+        r"heading|body|panel|column|col|group|posts?|articles?|stories|unit|slot|policy|message|bottom|left|right|top|primary|secondary|"
+        r"main|\d++)")
+#: whole words of class or id that name such a part; category-social, tag-search or has-sidebar say something about the article
+PARTS = re.compile(rf"(?:^|(?<=\s))(?:{_PLACE}[_-]+)*{_PART}(?:[_-]+(?:{_PART}|{_BOX}))*(?=\s|$)", re.I)
+HEAD = re.compile(r"(?:^|(?<=\s))(?:(?:site|page|main|top|global)[_-]+)?header(?=\s|$)", re.I)
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _SKIP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_NAMES = re.compile(r"""([^\s"'=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+#: how surely a block is no article: by class or id, or by the element, its role or being hidden
+NAMED, SURE = 1, 2
 
 
 @dataclass
@@ -49,47 +58,59 @@ class Block:
     linked: int
     aside: bool
     main: bool
+    #: in an article within a part that only its class or id calls no article
+    held: bool = False
 
     @property
     def density(self) -> float:
         return self.linked / self.words if self.words else 0.0
 
 
-def _is_aside(tag: str, attributes: str, in_main: bool) -> bool:
+def _aside(tag: str, attributes: str, in_main: bool) -> int:
     if tag in ASIDE or (tag == "header" and not in_main):
-        return True
+        return SURE
     if tag in ("html", "body") or not attributes:
-        return False
+        return 0
+    named = 0
     for name, value in _NAMES.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and (PARTS.search(value) or (not in_main and HEAD.search(value))):
-            return True
+        if name in ("class", "id") and tag not in ("article", "main") and (
+                PARTS.search(value) or (not in_main and HEAD.search(value))):
+            named = NAMED
         if (name == "role" and value.lower() in ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true") or (
                 name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True
-    return False
+            return SURE
+    return named
+
+
+def _is_main(tag: str, attributes: str) -> bool:
+    return tag == "main" or any(n.lower() == "role" and v.strip("\"'").lower() == "main" for n, v in _NAMES.findall(attributes or ""))
 
 
 def blocks(page: str | None) -> list[Block]:
-    """The non-empty text blocks in page order, white space collapsed, character references decoded."""
+    """The non-empty text blocks in page order, white space collapsed, character references decoded.
+
+    Class and id never make ``main`` an aside, nor what contains it, nor ``article``. An article within such a part,
+    as comments may be, counts where the page has no other one.
+    """
     page = page or ""
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []
-    state = [False, False]
+    stack: list[tuple[str, int, bool, bool]] = []
+    state = [0, False, False]
     link, at, end = False, 0, len(page)
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, len(text.split()), len(" ".join(linked).split()), *state))
+            out.append(Block(text, len(text.split()), len(" ".join(linked).split()), state[0] > 0, *state[1:]))
         parts.clear()
         linked.clear()
 
     def pop(to: int) -> None:
         del stack[to:]
-        state[:] = stack[-1][1:] if stack else (False, False)
+        state[:] = stack[-1][1:] if stack else (0, False, False)
 
     while at < end:
         cut = page.find("<", at)
@@ -125,7 +146,7 @@ def blocks(page: str | None) -> list[Block]:
         if closes:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    if stack[k][1] != (stack[k - 1][1] if k else False):
+                    if stack[k][1] != (stack[k - 1][1] if k else 0):
                         flush()
                     pop(k)
                     break
@@ -134,18 +155,28 @@ def blocks(page: str | None) -> list[Block]:
                 close = re.compile(f"</{re.escape(name)}\\b[^>]*>", re.I).search(page, at)
                 at = close.end() if close else end
         elif name not in VOID:
-            aside = state[0] or _is_aside(name, attributes, state[1])
-            if name in BLOCKS or aside != state[0]:
-                if aside != state[0]:
+            own = _aside(name, attributes, state[1] or state[2])
+            if name in BLOCKS or own > state[0]:
+                if own > state[0]:
                     flush()
                 if name == "li" and stack and stack[-1][0] == "li":
                     pop(len(stack) - 1)
-                    aside = state[0] or _is_aside(name, attributes, state[1])
-                main = state[1] or (name in ("article", "main") and not aside) or (
-                    not aside and bool(attributes) and 'role="main"' in attributes)
-                stack.append((name, aside, main))
-                state[:] = (aside, main)
+                    own = _aside(name, attributes, state[1] or state[2])
+                aside, main, held = max(state[0], own), state[1], state[2]
+                if name in ("article", "main") or "role" in attributes.lower():
+                    is_main = _is_main(name, attributes)
+                    if aside < SURE and is_main:
+                        aside, main = (aside if main else 0), True
+                    elif name == "article" and not main and not held:
+                        main, held = not aside, aside == NAMED
+                        aside = 0 if held else aside
+                stack.append((name, aside, main, held))
+                state[:] = (aside, main, held)
     flush()
+    marked = any(b.main for b in out)
+    for block in out:
+        if block.held and not block.main:
+            block.main, block.aside = not marked, block.aside or marked
     return out
 
 
