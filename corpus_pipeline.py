@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import decontaminate, line_dedup, minhash, packing, quality_rules
+from tradewind.llm.common import fresh
 from tradewind.llm.queries import table, vocabulary
 from tradewind.session import stage
 
@@ -35,9 +36,23 @@ def unshared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group; rows that repeat a doc_id, or have none, go."""
-    kept = minhash.duplicate_groups(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group of near copies, whatever the doc_ids: texts are compared, and a hash of the text names it.
+
+    The row with the smallest doc_id stays, rows without one come last; between rows of one doc_id the smallest hash of
+    text and all columns decides. Texts without words are no copies of anything: all of them stay.
+    """
+    columns, text, row = docs.columns, fresh(docs, "_text"), fresh(docs, "_row")
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    rows = docs.where(has_words).withColumns({text: F.xxhash64("text"), row: F.xxhash64(*hashed)})
+    groups = minhash.duplicate_groups(rows.select(F.col(text).alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias(text), "component_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text, row)).alias("first")
+    kept = (rows.groupBy(text).agg(first).join(groups, text).groupBy("component_id").agg(F.min("first").alias("first"))
+            .select(f"first.{text}", f"first.{row}"))
+    # rows that are equal in all columns have equal hashes
+    one = rows.join(kept, [text, row], "left_semi").dropDuplicates([text])
+    return one.select(*columns).unionByName(docs.where(~has_words))
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -368,3 +368,12 @@ def test_pipeline(spark):
         spark, corpus_pipeline.unshared_lines(spark, corpus_pipeline.good_documents(spark, queries.table(spark, DATA, "documents"), DATA), DATA),
         DATA).collect()})
     assert all(i == c for i, (_, c) in found.items())
+
+
+def test_pipeline_distinct(spark):
+    rng = np.random.default_rng(8)
+    a, b, c, d, e = (" ".join(f"{p}{rng.integers(10**6)}" for _ in range(80)) for p in "abcde")
+    rows = [(5, a), (7, a + " end"), (None, a), (None, b), (1, c), (1, d), (1, d), (None, e), (None, e), (3, ""), (None, None), (9, " ")]
+    for some in (rows, rows[::-1]):
+        got = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(some, "doc_id long, text string"), DATA)
+        assert Counter(map(tuple, got.collect())) == Counter([(5, a), (None, b), (1, c), (1, d), (None, e), (3, ""), (None, None), (9, " ")])
