@@ -97,6 +97,17 @@ def test_minhash_odd(odd, spark):
     assert minhash.duplicate_groups(odd.limit(0)).count() == 0
 
 
+def test_minhash_repeated_id(spark):
+    """A second text of a doc_id has shingles of its own, which do not count against the first one."""
+    rng = np.random.default_rng(5)
+    one, own, far = ([f"{p}{rng.integers(10**6)}" for _ in range(n)] for p, n in (("a", 200), ("b", 300), ("c", 300)))
+    near = [*one[:-2], "x", "y"]
+    # most of the second text is in another one, so that it is compared at all, and the rest in none
+    rows = [(1, " ".join(one)), (2, " ".join(near)), (1, " ".join(own)), (3, " ".join(own[:200] + far[:60]))]
+    got = {(r[0], r[1]): r[2] for r in minhash.duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2, 196] == 1
+
+
 def test_warc(spark):
     body = "x" * 100
     pages = spark.createDataFrame([(3, "u\r\nv", body), (1, "%0A", body), (2, None, body[1:]), (4, "w", body[1:]), (5, "e", ""), (6, "n", None),

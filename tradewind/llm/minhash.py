@@ -134,10 +134,11 @@ def _candidate_sets(docs: DataFrame, distinct: DataFrame, percent: int, name: st
     made = map_texts(texts, "text", "node long, key binary, set array<long>", _sets)
     made = made.withColumn("key", F.xxhash64("key")).dropDuplicates(["node", "key"])
     sets = stage(made.join(shared, ["node", "key"]), f"{name}_sets")
-    alone = (sets.select("node", F.explode("set").alias("s")).groupBy("s")
-             .agg(F.count("*").alias("held"), F.min("node").alias("node")).where("held = 1")
-             .groupBy("node").agg(F.count("*").alias("alone")))
-    able = (sets.join(alone, "node", "left")
+    # by key: a repeated doc_id may have several sets, and a set has one key
+    alone = (sets.select("key", F.explode("set").alias("s")).groupBy("s")
+             .agg(F.count("*").alias("held"), F.min("key").alias("key")).where("held = 1")
+             .groupBy("key").agg(F.count("*").alias("alone")))
+    able = (sets.join(alone, "key", "left")
             .withColumn("n", F.size("set")).withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0)))
             .where(100 * F.col("common") >= percent * F.col("n"))
             .join(distinct.select("node", "key", "sig"), ["node", "key"])
