@@ -330,6 +330,16 @@ def test_ranking(spark, odd):
     assert {r.score for r in ranking.rank(odd, none).collect()} == {0.5}
 
 
+def test_ranking_repeated_id(spark, monkeypatch):
+    texts = {0: "BUY NOW ### $$$ " * 5, 1: "The fox and the dog went to the river. " * 5}
+    rows = [(i, texts[i % 2]) for i in range(40)] + [(1, f"another text {i} of one id") for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(ranking, "learn", lambda x, good, f=ranking.learn: seen.append(len(x)) or f(x, good))
+    scores = [ranking.rank(spark.createDataFrame(r, "doc_id long, text string"), labels, rows=20).collect() for r in (rows, rows[::-1])]
+    assert max(seen) <= 20 and sorted(map(tuple, scores[0])) == sorted(map(tuple, scores[1]))
+
+
 def test_decontaminate(spark, odd):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
     bench = spark.createDataFrame([(1, item), (2, "tiny item"), (3, None), (4, "")], "item_id long, text string")

@@ -87,15 +87,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ranking |
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows).withColumnRenamed("doc_id", "_labelled"))
     # the limit bounds what is broadcast
     texts = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled"))
-             .select("quality", "text"))
+             .select("_labelled", "quality", F.coalesce("text", F.lit("")).alias("text")).withColumn("_hash", F.xxhash64("text")))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [batch.column("quality"), pa.array([features(t) for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))],
-            ["quality", "x"])
+            [*(batch.column(c) for c in ("_labelled", "quality", "_hash")),
+             pa.array([features(t) for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))],
+            ["_labelled", "quality", "_hash", "x"])
 
     kind = labels.schema["quality"].dataType.simpleString()
-    got = map_texts(texts, "text", f"quality {kind}, x array<double>", work).toArrow()
+    found = map_texts(texts, "text", f"_labelled {chosen.schema['_labelled'].dataType.simpleString()}, quality {kind}, _hash long, x array<double>", work)
+    # rows may repeat a doc_id; the text with the smallest hash stands for it, so that the limit holds for what is collected
+    got = found.groupBy("_labelled", "quality").agg(F.min_by("x", "_hash").alias("x")).select("quality", "x").toArrow()
     if not got.num_rows:
         return None
     x = np.array(got.column("x").to_pylist())
