@@ -372,6 +372,20 @@ def test_decontaminate_blocks(spark):
     assert not any(decontaminate.occurrences([r[1] for r in many], windows)[2])
 
 
+def test_decontaminate_pieces(spark, monkeypatch):
+    """Items without item_id and a long one are dealt over the blocks, none of which is much larger than asked for."""
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 15)
+    long = [f"l{i}" for i in range(200)]
+    items = [(None, " ".join(f"n{k}_{i}" for i in range(20))) for k in range(40)] + [(7, " ".join(long))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    sizes = [sum(len(decontaminate.words(r.text)) for r in b.collect()) for b in decontaminate._blocks(bench, 300)]
+    assert len(sizes) > 3 and max(sizes) < 700
+    # every window of the long item is in a piece
+    df = spark.createDataFrame([(i, " ".join(long[i:i + 10])) for i in range(191)] + [(500, items[3][1])], "doc_id long, text string")
+    one, many = (sorted(map(tuple, decontaminate.mark(df, bench, block_words=b).collect())) for b in (2_000_000, 300))
+    assert one == many and all(r[4] == ([7] if r[0] < 191 else []) and r[3] for r in many)
+
+
 def test_pipeline(spark):
     docs = queries.table(spark, DATA, "documents")
     columns = docs.columns

@@ -31,6 +31,8 @@ from tradewind.session import stage
 WINDOW = 10
 SHARD_BYTES = 8 << 20
 BLOCK_WORDS = 2_000_000
+#: windows of an item that go to one block together
+PIECE_WORDS = 10_000
 #: every SAMPLE-th symbol of a run keeps its position
 SAMPLE = 8
 #: bytes that are no part of a word become blanks, A-Z become a-z
@@ -203,15 +205,29 @@ def without(text: str, spans: list[list]) -> str:
 
 
 def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
+    """The items (item_id, text) in blocks, dealt by a hash of the text, so that a common or missing item_id does not matter."""
     whole = benchmark.schema["item_id"].dataType.simpleString() in _WHOLE
     sized = benchmark.select(F.col("item_id").cast("long" if whole else "string"), "text").where("text is not null")
     total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // (2 * block_words)))  # a word has two bytes at least, its blank included
     if n == 1:
         return [sized]
-    number = F.pmod(F.xxhash64("item_id"), F.lit(n))
-    used = sized.select(number.alias("b")).distinct().collect()
-    return [sized.where(number == b) for b in sorted(r.b for r in used)]
+    pieces = stage(sized.mapInArrow(_pieces, sized.schema).distinct(), "decontaminate_items")
+    number = F.pmod(F.xxhash64("text"), F.lit(n))
+    used = pieces.select(number.alias("b")).distinct().collect()
+    return [pieces.where(number == b) for b in sorted(r.b for r in used)]
+
+
+def _pieces(batches):
+    """Items of more than ``PIECE_WORDS`` words in pieces that have all their windows."""
+    for batch in batches:
+        item, text = [], []
+        for i, t in zip(*(batch.column(c).to_pylist() for c in (0, 1)), strict=True):
+            own = words(t)
+            for a in range(0, max(1, len(own) - WINDOW + 1), PIECE_WORDS):
+                item.append(i)
+                text.append(b" ".join(own[a:a + PIECE_WORDS + WINDOW - 1]).decode())
+        yield pa.RecordBatch.from_arrays([pa.array(item, batch.schema.types[0]), pa.array(text, pa.string())], ["item_id", "text"])
 
 
 def _windows(block: DataFrame) -> Windows:
