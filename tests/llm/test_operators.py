@@ -38,7 +38,7 @@ def by_id(df):
 @pytest.mark.parametrize("key", sorted(queries.SQL))
 def test_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     df = queries.QUERIES[key](spark, DATA)
     want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.SQL[key]})").fetchall()

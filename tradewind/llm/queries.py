@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, html_text, line_dedup, minhash, packing, pii, quality_rules, ranking, resharding, warc
-
+from tradewind.llm import centroids, decontaminate, html_text, line_dedup, merkle, minhash, neighbours, packing, pii
+from tradewind.llm import quality_rules, ranking, resharding, warc
 from tradewind.session import scratch_path
 
 #: shards of the old layout (documents of a source together) and of the new one
@@ -91,6 +91,22 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2(names, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op11_subvector_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors in 40 clusters, after 5 rounds."""
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests and proofs of all documents, some of them tampered with."""
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
+def op13_block_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest neighbours of every vector whose id is divisible by 20, among all."""
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_warc": op2_warc,
@@ -102,8 +118,87 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_pairwise_ranking": op9_pairwise_ranking,
     "op10_decontaminate": op10_decontaminate,
+    "op11_subvector_centroids": op11_subvector_centroids,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_block_neighbours": op13_block_neighbours,
 }
 
+
+def _centroids_sql(many: int = 40, rounds: int = 5) -> str:
+    """One pair of steps for each round: nearest centroids, then their new components."""
+    near = """
+n{0} AS MATERIALIZED (
+  SELECT r, vec_id, v, d[1] AS distance, CAST(d[2] AS BIGINT) AS cluster
+  FROM (SELECT r, vec_id, v, min([CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), k]) AS d
+        FROM kept, c{0} GROUP BY r, vec_id, v))"""
+    move = """
+m{0} AS (
+  SELECT cluster, p, (s - ((s % n) + n) % n) // n AS x
+  FROM (SELECT cluster, p, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+        FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM n{0}) GROUP BY cluster, p)),
+c{1} AS MATERIALIZED (
+  SELECT k, coalesce(list(x ORDER BY p) FILTER (p IS NOT NULL), any_value(c)) AS c
+  FROM c{0} LEFT JOIN m{0} ON k = cluster GROUP BY k)"""
+    steps = ",".join(near.format(i) + "," + move.format(i, i + 1) for i in range(rounds)) + "," + near.format(rounds)
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(256 * CAST(x AS DOUBLE)) >= 134217728)) = 0),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS BIGINT) AS k, v AS c
+  FROM (SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM kept ORDER BY h, v LIMIT {many})),{steps}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM n{rounds} JOIN c{rounds} ON k = cluster"""
+
+
+def _manifest_sql(deep: int = 7, sources: int = 4) -> str:
+    """One table of nodes and one of siblings for each level of the trees (16 to that power of leaves at most)."""
+    def levels(kind: str, count: int) -> str:
+        node = """
+{0}{2} AS MATERIALIZED (
+  SELECT t, pos // 16 AS pos, CASE WHEN pos // 16 = 0 AND count(*) = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d
+  FROM {0}{1} GROUP BY t, pos // 16)"""
+        side = """
+{0}s{1} AS MATERIALIZED (
+  SELECT t, pos, CASE WHEN NOT (pos // 16 = 0 AND count(*) OVER (PARTITION BY t, pos // 16) = 1) THEN [
+         coalesce(string_agg(d, '') OVER (PARTITION BY t, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+         coalesce(string_agg(d, '') OVER (PARTITION BY t, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '')] END AS s
+  FROM {0}{1})"""
+        return ",".join(side.format(kind, i) + "," + node.format(kind, i, i + 1) for i in range(count))
+
+    def walked(kind: str, count: int, tree: str, pos: str) -> str:
+        return "".join(f"\n  JOIN {kind}s{i} AS {kind}{i} ON {kind}{i}.t = {tree} AND {kind}{i}.pos = {pos} // {16 ** i}" for i in range(count))
+
+    path = [f"leaves{i}.s" for i in range(deep)] + [f"sources{i}.s" for i in range(sources)]
+    proof = " || ".join(f"coalesce({s}[1] || {s}[2], '')" for s in path)
+    folds = ""
+    for n, s in enumerate(path):
+        folds += f",\nf{n + 1} AS (SELECT * EXCLUDE (f), CASE WHEN p[{n + 1}] IS NULL THEN f ELSE sha256(p[{n + 1}][1] || f || p[{n + 1}][2]) END AS f FROM f{n})"
+    text = lambda c: f"coalesce(CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    row = " || ".join(map(text, ("doc_id", "source", "lang", "n_chars")))
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH table_of AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc),
+hashed AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS t, sha256({row} || {text("text")}) AS d, sha256({row} || {text(low)}) AS lowered,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+             lambda i: ord(substr(CAST(doc_id AS VARCHAR), CAST(i AS INTEGER), 1))::BIGINT)),
+             lambda c, b: xor(c >> 8, crc[xor(c, b) % 256 + 1])), 4294967295) AS crc
+  FROM documents, table_of),
+leaves0 AS MATERIALIZED (
+  SELECT doc_id, t, d, CASE WHEN crc % 5 = 0 THEN lowered ELSE d END AS f,
+         row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, d) - 1 AS pos
+  FROM hashed),{levels("leaves", deep)},
+sources0 AS MATERIALIZED (SELECT t AS source, '' AS t, d, row_number() OVER (ORDER BY t) - 1 AS pos FROM leaves{deep}),{levels("sources", sources)},
+f0 AS (
+  SELECT x.doc_id, x.d AS leaf, y.d AS subroot, z.d AS root, sha256({proof}) AS proof_sha256, x.f, [{", ".join(path)}] AS p
+  FROM leaves0 AS x JOIN sources0 AS y ON y.source = x.t CROSS JOIN sources{sources} AS z{walked("leaves", deep, "x.t", "x.pos")}{walked("sources", sources, "''", "y.pos")}){folds}
+SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS verified FROM f{len(path)}"""
+
 SQL: dict[str, str] = {
     "op2_warc": """
 WITH p AS (
@@ -159,4 +254,17 @@ named AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_subvector_centroids": _centroids_sql(),
+    "op12_merkle_manifest": _manifest_sql(),
+    "op13_block_neighbours": """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+q AS (SELECT row_number() OVER () AS n, * FROM v WHERE vec_id % 20 = 0),
+s AS (
+  SELECT n, q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x) AS score
+  FROM q JOIN v ON v.vec_id IS DISTINCT FROM q.vec_id AND len(v.x) = len(q.x))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s) WHERE rank <= 20""",
 }
