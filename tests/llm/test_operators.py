@@ -330,6 +330,20 @@ def test_ranking(spark, odd):
     assert {r.score for r in ranking.rank(odd, none).collect()} == {0.5}
 
 
+def test_ranking_place_in_batch():
+    """A text gets the same bits alone, first, last and between others, in batches of any size."""
+    rng = np.random.default_rng(6)
+    wide = len(ranking.features("x"))
+    model = ranking.Ranking(rng.normal(size=wide), rng.uniform(0.1, 2, wide), rng.normal(size=wide), 0.3)
+    own = rng.normal(size=wide)
+    alone = model.score(own[None])[0]
+    for n in [2, 3, 4, 5, 7, 8, 15, 16, 17, 31, 41, 64, 100, 1000]:
+        for at in {0, 1, n // 2, n - 1}:
+            batch = rng.normal(size=(n, wide))
+            batch[at] = own
+            assert model.score(batch)[at] == alone == model.score(batch[::-1])[n - 1 - at]
+
+
 def test_ranking_repeated_id(spark, monkeypatch):
     texts = {0: "BUY NOW ### $$$ " * 5, 1: "The fox and the dog went to the river. " * 5}
     rows = [(i, texts[i % 2]) for i in range(40)] + [(1, f"another text {i} of one id") for i in range(300)]

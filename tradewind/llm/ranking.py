@@ -52,7 +52,8 @@ class Ranking:
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """0 to 1 for rows of features; ``CUT`` at the cut."""
-        raw = (x - self.mean) / self.scale @ self.weights - self.cut
+        # each row is summed for itself: a product with the whole batch rounds a row by its place in it
+        raw = ((x - self.mean) / self.scale * self.weights).sum(1) - self.cut
         return 1 / (1 + np.exp(-np.clip(raw + np.log(CUT / (1 - CUT)), -30, 30)))
 
 
