@@ -32,14 +32,18 @@ CAPACITY, END = 4096, 1
 #: words whose ids a worker remembers, and the longest of them in bytes
 REMEMBERED, LONGEST = 600_000, 64
 _SHIFT = 40
-_STOP = re.compile(rb"(?<=[a-zA-Z])(?=[.,])")
+#: letters that have one lower case, and marks that are no part of a short form such as 's
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_WORD = re.compile(f"[{_LETTERS}]+")
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Ids:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
     The vocabulary's tokens never cross white space and the tokenizer drops it, so a text's ids are those of its
-    words one after the other, and each word is encoded once.
+    words one after the other, and each word is encoded once. Nor do they cross from a letter to a mark: what is
+    made of Western letters only goes to the vocabulary's model at once, and the marks behind it are looked up as a word.
     """
 
     def __init__(self, path: str):
@@ -47,26 +51,47 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        # how the vocabulary writes each letter
+        self.written = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _LETTERS}
         self.known: dict[bytes, bytes] = {}
 
     def __call__(self, text: str | None) -> bytes:
         raw = text.encode() if text else b""
         if b"<|" not in raw:  # the vocabulary lower-cases, but not the strings of its special tokens
             raw = raw.lower()
-        # a letter and the stop or comma after it are never in one token
-        words = _STOP.sub(b" ", raw).split()
+        words = raw.split()
         try:
             return b"".join([self.known[w] for w in words])
         except KeyError:
             pass
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = [w for w in set(words) if w not in self.known]
-        got = self._encoded(new)
+        got = self._new({w for w in words if w not in self.known})
         ids = b"".join([got.get(w) or self.known.get(w, b"") for w in words])
         self.known.update((w, i) for w, i in got.items() if len(w) <= LONGEST)
         return ids
 
+    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of words that are not known yet."""
+        plain, other = [], set()
+        for w in words:
+            letters = w.rstrip(_MARKS)
+            low = letters.decode().lower()
+            if _WORD.fullmatch(low):
+                plain.append((w, low.encode(), w[len(letters):]))
+            else:
+                other.add(w)
+        other.update(marks for _, _, marks in plain if marks and marks not in self.known)
+        got = self._encoded(list(other)) if other else {}
+        for w, letters, marks in plain:
+            ids = self.known.get(letters) or got.get(letters)
+            if ids is None:
+                made = self.model.tokenize(letters.decode().translate(self.written))
+                ids = got[letters] = b"".join([t.id.to_bytes(4, "little") for t in made])
+            got[w] = ids + (self.known.get(marks) or got[marks]) if marks else ids
+        return got
+
     def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
         """The ids of each word, from one pass over all of them; offsets tell which word an id belongs to."""
         plain = [w.decode() for w in words]
