@@ -89,6 +89,35 @@ def test_minhash_families(spark, many_partitions):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(dict(rows))
 
 
+def test_minhash_large_group(spark, many_partitions):
+    """A thousand near copies of one text, and texts that link to some of them only, or to nothing."""
+    rng = np.random.default_rng(11)
+    base = [f"v{i}" for i in range(120)]
+
+    def changed(words, times, mark):
+        words = list(words)
+        for _ in range(times):
+            words[int(rng.integers(len(words)))] = f"{mark}{rng.integers(40)}"
+        return words
+
+    near = [changed(base, int(rng.integers(0, 2)), "z") for _ in range(1000)]
+    outside = [changed(near[int(rng.integers(1000))], int(rng.integers(1, 4)), "y") for _ in range(250)]
+    rows = dict(enumerate(" ".join(w) for w in [*near, *outside]))
+    df = spark.createDataFrame([(i, t) for i, t in rows.items()], "doc_id int, text string")
+    got = by_id(minhash.duplicate_groups(df))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(rows)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+def test_minhash_filter(spark, monkeypatch, bits):
+    """A filter that is full lets everything through, one that is not drops nearly all others; neither loses an id."""
+    monkeypatch.setattr(minhash, "LARGEST_FILTER", bits)
+    inside = minhash._Filter(spark.range(0, 3000, 3).select(F.col("id").alias("node")))
+    hashed = np.array([r[0] for r in spark.range(3000).select(F.xxhash64("id")).collect()])
+    hit = inside(hashed)
+    assert hit[::3].all() and (hit.mean() == 1 if bits == 64 else hit.mean() < 0.34)
+
+
 def test_minhash_odd(odd, spark):
     rows = sorted(map(tuple, minhash.duplicate_groups(odd).collect()), key=repr)
     assert [(r[0], r[1] > 0, r[2], r[3]) for r in rows] == [

@@ -64,6 +64,37 @@ def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
         ["doc_id", "n", "key", "sig"])
 
 
+#: a filter of chosen doc_ids: bits for each of them, bits at most (8 MB, false hits of 1 % at 5 million ids), hashes
+FILTER_BITS, LARGEST_FILTER, FILTER_HASHES = 16, 1 << 26, 4
+
+
+class _Filter:
+    """Says of most doc_ids outside ``ids`` that they are not in it, and never so of one inside."""
+
+    def __init__(self, ids: DataFrame):
+        many = ids.count()
+        self.bits = 64
+        while self.bits < min(FILTER_BITS * many, LARGEST_FILTER):
+            self.bits *= 2
+        h = F.xxhash64("node")
+        low, high = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)
+        at = F.explode(F.array(*[(low + high * i) % self.bits for i in range(FILTER_HASHES)]))
+        one = F.expr("shiftleft(1L, cast(at % 64 as int))")
+        words = (ids.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(one).alias("set"))
+                 .toArrow())
+        self.words = np.zeros(self.bits // 64, np.int64)
+        self.words[words.column("word").to_numpy()] = words.column("set").to_numpy()
+
+    def __call__(self, hashed: np.ndarray) -> np.ndarray:
+        """Which of the doc_ids with these xxhash64 may be inside."""
+        low, high = hashed & 0xFFFFFFFF, (hashed >> 32) & 0xFFFFFFFF
+        inside = np.ones(len(hashed), bool)
+        for i in range(FILTER_HASHES):
+            at = (low + high * i) % self.bits
+            inside &= (self.words[at >> 6] >> (at & 63)) & 1 == 1
+        return inside
+
+
 def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
     return pa.RecordBatch.from_arrays([
@@ -97,7 +128,7 @@ def duplicate_groups(docs: DataFrame, percent: int = 85, name: str = "minhash")
       of one ``doc_id`` belong together. A row without it gets the component of its text, if
       another row names one, and is never kept.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(map_texts(docs, "text", "doc_id long, n long, key binary, sig array<long>", _signatures),
                    f"{name}_signed")
     named = signed.where("key is not null and doc_id is not null")
@@ -130,8 +161,14 @@ def _candidate_sets(docs: DataFrame, distinct: DataFrame, percent: int, name: st
     # a set has COORDINATES - size(lists) lists of its own, which fill the front of its prefix
     shared = stage(shared.withColumn("prefix", F.expr(f"slice(lists, 1, size(lists) - {MATCHES - 1})"))
                    .select("node", "key", "prefix", "score"), f"{name}_shared")
-    texts = docs.join(shared.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    made = map_texts(texts, "text", "node long, key binary, set array<long>", _sets)
+    # no text is moved for it: what the filter lets through falls out of the join with ``shared``
+    inside = _Filter(shared.select("node"))
+
+    def chosen(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return _sets(batch.filter(pa.array(inside(batch.column("at").to_numpy()))))
+
+    texts = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("at"))
+    made = map_texts(texts, "text", "node long, key binary, set array<long>", chosen)
     made = made.withColumn("key", F.xxhash64("key")).dropDuplicates(["node", "key"])
     sets = stage(made.join(shared, ["node", "key"]), f"{name}_sets")
     # by key: a repeated doc_id may have several sets, and a set has one key
@@ -148,11 +185,12 @@ def _candidate_sets(docs: DataFrame, distinct: DataFrame, percent: int, name: st
 
 def _links(sets: DataFrame, percent: int, name: str) -> DataFrame:
     """Enough of the links (u, v) to connect all sets that similar ones connect."""
-    posts = stage(sets.select("node", "n", "common", "score", "sig", F.explode("prefix").alias("p"))
-                  .select("node", "n", "common", "score", "sig", "p.c", "p.v"), f"{name}_posts")
-    middle = F.max(F.struct("score", "node", "sig", "n", "common"))
+    # without signatures: they are looked up for pairs
+    posts = stage(sets.select("node", "n", "common", "score", F.explode("prefix").alias("p"))
+                  .select("node", "n", "common", "score", "p.c", "p.v"), f"{name}_posts")
+    middle = F.max(F.struct("score", "node", "n", "common"))
     heads = stage(posts.groupBy("c", "v").agg(middle.alias("m"), F.count("*").alias("posted"))
-                  .where("posted > 1").select("c", "v", F.col("m.node").alias("head"), F.col("m.sig").alias("hsig"),
+                  .where("posted > 1").select("c", "v", F.col("m.node").alias("head"),
                                               F.col("m.n").alias("hn"), F.col("m.common").alias("hcommon")),
                   f"{name}_heads")
 
@@ -162,8 +200,10 @@ def _links(sets: DataFrame, percent: int, name: str) -> DataFrame:
 
     listed = posts.join(heads, ["c", "v"])
     tried = (listed.where(F.col("node") != F.col("head")).where(fits(*map(F.col, ("n", "common", "hn", "hcommon"))))
-             .where(_collisions(F.col("sig"), F.col("hsig")) >= MATCHES)
-             .select(F.col("node").alias("u"), F.col("head").alias("v")).distinct())
+             .select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
+             .join(sets.select(F.col("node").alias("u"), F.col("sig").alias("usig")), "u")
+             .join(sets.select(F.col("node").alias("v"), F.col("sig").alias("vsig")), "v")
+             .where(_collisions(F.col("usig"), F.col("vsig")) >= MATCHES).select("u", "v").distinct())
     stars = stage(_confirmed(tried, sets, percent), f"{name}_stars")
     joined = components(stars, f"{name}_joined")
     anchors = (sets.select("node").join(joined, F.col("node") == F.col("id"), "left")
@@ -174,30 +214,28 @@ def _links(sets: DataFrame, percent: int, name: str) -> DataFrame:
     sizes = listed.groupBy("c", "v", "anchor").agg(F.count("*").alias("k"))
     active = stage(sizes.groupBy("c", "v").agg(F.max(F.struct("k", "anchor")).alias("m"), F.count("*").alias("groups"))
                    .where("groups > 1").select("c", "v", F.col("m.anchor").alias("main")), f"{name}_active")
-    outside = stage(listed.join(active, ["c", "v"]).where("anchor <> main").select("main", "node").distinct(),
-                    f"{name}_outside")
+    # a link that is still missing has both ends in one of these lists
+    posted = stage(listed.join(active, ["c", "v"]).select("main", "node", (F.col("anchor") != F.col("main")).alias("outer"))
+                   .distinct(), f"{name}_outside")
     sets = sets.select("node", "n", "sig", "set").join(anchors, "node")
-    return stars.unionByName(_outside_links(sets, outside, percent, name))
+    return stars.unionByName(_outside_links(sets, posted, percent, name))
 
 
 #: shingles and sets at most on each side of a cell, on average
 CELL_SHINGLES, CELL_SETS = 1_000_000, 256
 
 
-def _outside_links(sets: DataFrame, outside: DataFrame, percent: int, name: str) -> DataFrame:
+def _outside_links(sets: DataFrame, posted: DataFrame, percent: int, name: str) -> DataFrame:
     """Links (u, v) of the nodes outside a group with that group's members and with each other.
 
-    ``outside`` (main, node) names the nodes that share a list with group ``main``. Groups are cut into a grid of
-    cells of bounded size; a cell compares full sets in blocks and returns one link for each outside node and component.
+    ``posted`` (main, node, outer) names the nodes that share a list with group ``main`` and says which of them stand
+    outside it. Groups are cut into a grid of cells of bounded size; a cell compares full sets in blocks and returns
+    one link for each outside node and component.
     """
-    outer = sets.join(outside, "node")
-    inner = (sets.join(outside.select("main").distinct(), F.col("anchor") == F.col("main"), "left_semi")
-             .withColumn("main", F.col("anchor")))
-
     def cells(of):
         return F.ceil(F.greatest(F.sum(F.col("n").cast("long")) / CELL_SHINGLES, F.count("*") / CELL_SETS)).cast("int").alias(of)
 
-    both = stage(outer.withColumn("outer", F.lit(True)).unionByName(inner.withColumn("outer", F.lit(False))), f"{name}_both")
+    both = stage(sets.join(posted, "node"), f"{name}_both")
     grid = (both.where("outer").groupBy("main").agg(cells("rows"))
             .join(both.groupBy("main").agg(cells("columns")), "main"))
     both = both.join(stage(grid, f"{name}_grid"), "main")
