@@ -17,6 +17,15 @@ MONTHS = ("january", "february", "march", "april", "may", "june", "july", "augus
 GENERAL_PATTERN = (
     r"^(\d{1,4}|[A-Za-z]{3,9})[\s,./-]+(\d{1,2}|[A-Za-z]{3,9})[\s,./-]+(\d{1,4})"
     r"(?:,?[T\s]+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?\s*([AaPp][Mm])?)?$")
+# What is taken out or spelled out before that: eight digits run together, perhaps with six of a time;
+# a weekday in front; the ending of a day's number; a word or comma before the time.
+GENERAL_CLEANUP = (
+    (r"^(\d{4})(\d{2})(\d{2})(?:[T\s]?(\d{2})(\d{2})(\d{2}))$", "$1/$2/$3 $4:$5:$6"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1/$2/$3"),
+    (r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?[\s,.]+", ""),
+    (r"(?i)(\d)(?:st|nd|rd|th)(?![a-z])", "$1"),
+    (r"(?i),?\s+at\s+(?=\d)", " "),
+)
 # The characters that count as white space.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -165,11 +174,25 @@ def parse_date_text(c: str | Column, fmt: str = "M/d/yyyy") -> Column:
 def parse_general(c: str | Column) -> Column:
     """Dates of any usual layout: year first, or month first unless that is above 12, or a named month.
 
-    Two-digit years are those of 1976 to 2075; a time of day may follow. NULL if it cannot be read.
+    Two-digit years are those of 1976 to 2075; a time of day may follow. A weekday in front, endings such as ``25th`` and an
+    ``at`` before the time are passed over. NULL if it cannot be read.
+
+    The text is matched once and the parts are handed on as the argument of a lambda: as plain columns they would be
+    copied into the plan, and into the generated code, wherever one of them is used.
     """
-    text = F.regexp_replace(strip(c), r"^(\d{4})(\d{2})(\d{2})$", "$1/$2/$3")
-    first, second, third, hour, minute, seconds, half = (
-        F.regexp_extract(text, GENERAL_PATTERN, i) for i in range(1, 8))
+    text = strip(c)
+    for pattern, plain in GENERAL_CLEANUP:
+        text = F.regexp_replace(text, pattern, plain)
+    return F.transform(F.array(text), _from_general)[0]
+
+
+def _from_general(text: Column) -> Column:
+    split = F.split(F.regexp_replace(text, GENERAL_PATTERN, "$1|$2|$3|$4|$5|$6|$7"), r"\|")
+    return F.when(text.rlike(GENERAL_PATTERN), F.transform(F.array(split), _from_parts)[0])
+
+
+def _from_parts(parts: Column) -> Column:
+    first, second, third, hour, minute, seconds, half = (parts[i] for i in range(7))
 
     def whole(part: Column) -> Column:
         return part.try_cast("int")
