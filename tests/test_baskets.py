@@ -44,6 +44,20 @@ def test_only_large_orders(shop):
     assert [tuple(r) for r in got] == brute(hot, products, "product_name", 10)
 
 
+def test_blocks_count_products_not_lines(spark):
+    """200,000 lines of 50 products are one block; 120 products of 120 lines are three of 50."""
+    lines = baskets.basket_lines(
+        spark.range(200_000).select(F.lit(1).alias("order_id"), (F.col("id") % 50).alias("product_id"))
+        .unionByName(spark.range(120).select(F.lit(2).alias("order_id"), F.col("id").alias("product_id"))))
+    assert [tuple(r) for r in baskets.order_blocks(lines, 50).collect()] == [(2, 3)]
+
+
+def test_rows_without_keys_pair_with_nothing(spark, shop):
+    items = spark.createDataFrame([(1, 1), (1, 2), (None, 1), (None, 2), (1, None)], "order_id int, product_id long")
+    assert [tuple(r) for r in baskets.bought_together(items, shop[1], "product_id").collect()] == [(1, 2, 1)]
+    assert baskets.bought_together(items.limit(0), shop[1], "product_id").count() == 0
+
+
 def test_fewer_pairs_than_asked_for(spark, shop):
     items = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 3)], "order_id int, product_id long")
     for block in (1, 100):

@@ -1,6 +1,8 @@
 """Column expressions against Python's own functions and fixed cases."""
 
 import datetime as dt
+import math
+import random
 from decimal import Decimal
 
 import pytest
@@ -99,8 +101,20 @@ def test_percent_text(spark, value, want):
     assert one(spark, value, "double", C.percent_text) == want
 
 
+def test_two_decimals_of_the_exact_value(spark):
+    """Ties, values next to ties and all others, as the standard formatting of doubles gives them."""
+    rng = random.Random(4)
+    values = [0.125, 0.375, 2.675, 1.005, 0.005, 0.015, 99.995, 0.995, -0.001, 1e12 + 0.125, 12345.675, 0.0]
+    values += [math.nextafter(v, to) for v in values for to in (-1e9, 1e9)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.uniform(-4, 9) for _ in range(3000)] + [rng.randrange(10**7) / 1000 for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(C.two_decimals("v")).collect()] == [f"{v:.2f}" for v in values]
+
+
 @pytest.mark.parametrize("now,was,want", [
-    (5, 0, "+100.00%"), (0, 0, "0.00%"), (6, 5, "+20.00%"), (5, 5, "0.00%"), (4, 5, "-20.00%")])
+    (5, 0, "+100.00%"), (0, 0, "0.00%"), (6, 5, "+20.00%"), (5, 5, "0.00%"), (4, 5, "-20.00%"),
+    (801, 800, "+0.12%"), (803, 800, "+0.38%"), (799, 800, "-0.12%"), (99999, 100000, "-0.00%"), (100001, 100000, "+0.00%"),
+    (None, 5, None), (2999999, 1000000, "+200.00%")])
 def test_change_text(spark, now, was, want):
     df = spark.createDataFrame([(now, was)], "a long, b long")
     assert df.select(C.change_text("a", "b")).first()[0] == want

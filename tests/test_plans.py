@@ -101,6 +101,48 @@ def test_order_totals_reuse_the_join_partitioning(spark):
     assert plan.count("Exchange hashpartitioning(order_id") == 2
 
 
+@pytest.mark.parametrize("key", [
+    "parse_timestamp_multi", "normalise_date", "drop_future", "clean_ecommerce_customers", "clean_ecommerce_orders",
+    "clean_ecommerce", "cleaning_report", "signed_change", "period_summary"])
+def test_generated_code_compiles(spark, key):
+    """No stage is too large for one method; Spark would run such a stage row by row."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = driver.queries()[key](spark, DATA)
+        plan = df._jdf.queryExecution().executedPlan()
+        debug = getattr(spark._jvm.org.apache.spark.sql.execution, "debug")
+        parts = getattr(getattr(debug, "package$"), "MODULE$").codegenStringSeq(plan)
+        sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # -1: it did not compile at all; beyond 65,535 bytes Spark falls back
+    assert sizes and all(0 < s < 65535 for s in sizes)
+
+
+@pytest.mark.parametrize("key", ["running_total", "lag_per_key", "order_gap_risk", "reorder_risk_by_customer",
+                                 "global_row_number", "ntile_global"])
+def test_windows_move_rows_once(spark, key):
+    """The range sort is part of what was staged; after that only aggregates and border rows are exchanged."""
+    plan = explain_text(driver.queries()[key](spark, DATA), "simple").splitlines()
+    for i, line in enumerate(plan):
+        # by the last group of a partition: the table of borders, one row per partition
+        if re.search(r"Exchange (hash|range)partitioning\((?!_last#)", line):
+            assert re.search("HashAggregate|SortAggregate", " ".join(plan[i + 1:i + 3])), line
+
+
+@pytest.mark.parametrize("key,scans", [("star_schema_split", 0), ("insert_select", 0), ("cleaning_report", 1)])
+def test_the_fact_is_scanned_once(spark, key, scans):
+    """The listing is staged for its three tables; the report reads its items once."""
+    plan = explain_text(driver.queries()[key](spark, DATA))
+    assert plan.count("lineitem.parquet") == scans
+
+
+def test_groups_are_limited_before_the_shuffle(spark):
+    plan = explain_text(driver.queries()["top_n_per_group"](spark, DATA), "simple").splitlines()
+    below = [" ".join(plan[i + 1:i + 3]) for i, line in enumerate(plan) if "Exchange hashpartitioning" in line and "_share" in line]
+    assert below and all("WindowGroupLimit" in b for b in below)
+
+
 def test_top_k_fills_up_beyond_unknown_keys(retail):
     best = [r.customer_id for r in sales.top_customers(
         retail.items, retail.orders, retail.customers, 6).collect()]

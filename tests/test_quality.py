@@ -85,6 +85,7 @@ def test_cleaning_report_and_tables_agree(spark, raw):
         ("products", "names_normalized"): 1, ("products", "total_products_cleaned"): 2,
         ("customers", "invalid_emails"): 2,
         ("orders", "null_customer_ids_dropped"): 2, ("orders", "wrong_date_formats_fixed"): 1,
+        ("orders", "unreadable_dates_dropped"): 2,
         ("orders", "future_dates_dropped"): 1, ("orders", "missing_customer_orders_dropped"): 1,
         ("orders", "total_orders_cleaned"): 3,
         ("order_items", "orphaned_items_dropped"): 2, ("order_items", "zero_quantity_dropped"): 1,

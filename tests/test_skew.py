@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tradewind.functions import columns as C
-from tradewind.operators import ordering
+from tradewind.operators import ordering, quality
 from tradewind.operators import relational as R
 from tradewind.plans import customers, sales
 
@@ -101,6 +101,51 @@ def test_hot_customer_is_split_when_joined_with_its_mean(tiny_skew, shop):
     assert len(got) == 60000
 
 
+@pytest.fixture
+def listing_of(spark, shop):
+    """Lines joined with their products; one product holds a third of them and its row is wide."""
+    _, items = shop
+    products = spark.range(1000).select(
+        F.col("id").alias("product_id"), F.concat(F.lit("p"), F.col("id") % 50).alias("product_name"))
+    # amounts that do not compress, as the thresholds go by bytes
+    amount = (F.pmod(F.hash("item_id"), F.lit(1_000_000)) + 1).cast("decimal(12,4)")
+    lines = items.withColumn("sales", amount).join(products, "product_id")
+    return lines
+
+
+def test_hot_product_is_split_below_distinct_rows(tiny_skew, listing_of):
+    df = quality.drop_duplicates(listing_of)
+    got, plan = final_plan(df)
+    assert "skew=true" in plan and len(got) == 60000
+
+
+def test_hot_product_is_split_below_a_dimension(tiny_skew, listing_of):
+    got, plan = final_plan(quality.build_dimension(listing_of, "product_id", ["product_name", "sales"], "first"))
+    assert "skew=true" in plan and len({r.product_id for r in got}) == len(got) > 600
+
+
+def test_hot_product_is_split_below_its_total(tiny_skew, listing_of):
+    got, plan = final_plan(sales.top_by_sales(listing_of, ["product_id", "product_name"], 3))
+    assert "skew=true" in plan and got[0].product_id == 5 and got[0].total_sales > 10**9
+
+
+def test_hot_customer_is_split_when_its_ends_are_found(tiny_skew, shop):
+    orders, _ = shop
+    got, plan = final_plan(ordering.first_last(orders, ["customer_id"], ["order_date", "order_id"], "order_id", "a", "b"))
+    assert "skew=true" in plan
+    want = orders.groupBy("customer_id").agg(
+        F.min_by("order_id", F.struct("order_date", "order_id")).alias("a"), F.max_by("order_id", F.struct("order_date", "order_id")).alias("b"))
+    assert sorted(map(tuple, got)) == rows(want) or sorted(map(tuple, got), key=repr) == rows(want)
+
+
+def test_best_of_a_hot_group_with_ties(spark):
+    """Half of all rows share a group and its best key; each share keeps its own best ones."""
+    df = spark.range(4000).select("id", (F.col("id") % 2).alias("g"), F.when(F.col("id") % 3 == 0, 9).otherwise(F.col("id") % 9).alias("k"))
+    got = ordering.top_n_per_group(df, ["g"], "k", 2, "r", shares=3)
+    want = df.withColumn("r", F.dense_rank().over(W.partitionBy("g").orderBy(F.desc("k")))).filter("r <= 2")
+    assert rows(got) == rows(want)
+
+
 def test_hot_group_spreads_over_sorted_partitions(tiny_skew, shop):
     """A group with a third of the rows is cut like any other range of rows."""
     orders, _ = shop

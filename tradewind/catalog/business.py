@@ -47,8 +47,8 @@ def _change_sql() -> str:
     return """CASE WHEN previous_period = 0
         THEN CASE WHEN current_period > 0 THEN '+100.00%' ELSE '0.00%' END
       ELSE concat(CASE WHEN current_period > previous_period THEN '+' ELSE '' END,
-        CAST(CAST(ROUND((CAST(current_period AS DOUBLE) - CAST(previous_period AS DOUBLE))
-          / CAST(previous_period AS DOUBLE) * 100, 2) AS DECIMAL(28,2)) AS VARCHAR), '%') END"""
+        printf('%.2f', (CAST(current_period AS DOUBLE) - CAST(previous_period AS DOUBLE))
+          / CAST(previous_period AS DOUBLE) * 100), '%') END"""
 
 
 def _count_sql(what: str, start: str, end: str) -> str:

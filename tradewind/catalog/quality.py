@@ -95,6 +95,8 @@ UNION ALL SELECT 'customers', 'invalid_emails', COUNT(*) FROM dirty_customers
 UNION ALL SELECT 'orders', 'null_customer_ids_dropped', COUNT(*) FROM parsed_orders WHERE NOT keyed
 UNION ALL SELECT 'orders', 'wrong_date_formats_fixed', COUNT(*) FROM parsed_orders
   WHERE keyed AND regexp_full_match(date_text, '[0-9]{2}-[0-9]{2}-[0-9]{4}')
+UNION ALL SELECT 'orders', 'unreadable_dates_dropped', COUNT(*) FROM parsed_orders
+  WHERE keyed AND order_date IS NULL
 UNION ALL SELECT 'orders', 'future_dates_dropped', COUNT(*) FROM parsed_orders
   WHERE keyed AND order_date > TIMESTAMP '2002-01-01 00:00:00'
 UNION ALL SELECT 'orders', 'missing_customer_orders_dropped', COUNT(*) FROM clean_orders
@@ -282,7 +284,7 @@ STAR = [
     for key, (table, sql) in _SPLIT.items()
 ] + [
     Entry("BQ-19", "star_schema_split",
-          lambda r: Q.row_counts(listing.star_schema(r.sales(raw=True))),
+          lambda r: Q.row_counts(listing.split_listing(r.sales(raw=True))),
           """SELECT 'customers' AS table_name, COUNT(DISTINCT customer_id) AS row_count
              FROM sales_lines UNION ALL SELECT 'products', COUNT(DISTINCT product_id)
              FROM sales_lines UNION ALL SELECT 'orders', COUNT(*) FROM sales_lines"""),

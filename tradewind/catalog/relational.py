@@ -300,8 +300,8 @@ SORTING = [
     Entry("SL-04", "limit", lambda r: quality.preview(
         r.customers.select("customer_id", "customer_name"), 10, [F.col("customer_id").asc()]),
         "SELECT customer_id, customer_name FROM shop_customers ORDER BY customer_id LIMIT 10"),
-    Entry("ST-01", "distinct", lambda r: r.sales(region=True).select(
-        "customer_id", "region", "ship_mode").distinct(),
+    Entry("ST-01", "distinct", lambda r: quality.drop_duplicates(r.sales(region=True).select(
+        "customer_id", "region", "ship_mode")),
         "SELECT DISTINCT customer_id, region, ship_mode FROM sales_lines"),
 ]
 

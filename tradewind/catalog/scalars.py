@@ -95,9 +95,8 @@ ENTRIES = [
           _items("""CASE WHEN discount_percent = 0
                  THEN CASE WHEN quantity > 0 THEN '+100.00%' ELSE '0.00%' END
                  ELSE concat(CASE WHEN quantity > discount_percent THEN '+' ELSE '' END,
-                   CAST(CAST(ROUND((CAST(quantity AS DOUBLE) - CAST(discount_percent AS DOUBLE))
-                     / CAST(discount_percent AS DOUBLE) * 100, 2) AS DECIMAL(28,2)) AS VARCHAR),
-                   '%') END""")),
+                   printf('%.2f', (CAST(quantity AS DOUBLE) - CAST(discount_percent AS DOUBLE))
+                     / CAST(discount_percent AS DOUBLE) * 100), '%') END""")),
     Entry("SC-21", "shifted_date",
           _on_orders(lambda: F.date_sub(F.to_date(DATE), F.datediff(F.to_date(DATE),
                                                             F.lit("1995-01-01").cast("date")))),

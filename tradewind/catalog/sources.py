@@ -9,7 +9,7 @@ from tradewind.catalog.entry import Entry
 from tradewind.catalog.views import Retail
 from tradewind.operators import aggregates, quality
 from tradewind.plans import cleaning, listing
-from tradewind.session import scratch_path
+from tradewind.session import scratch_path, stage
 from tradewind.sources import files, tables
 
 
@@ -39,11 +39,16 @@ def _export_small(r: Retail) -> DataFrame:
 
 
 def _saved_table(r: Retail) -> DataFrame:
-    """Save, read by name, and overwrite the table with its own cleaned rows."""
-    name = "tradewind_customers"
-    raw = tables.save_table(r.master, name, scratch_path(r.spark, name))
-    return tables.replace_table(
-        quality.drop_duplicates(raw), name, scratch_path(r.spark, name))
+    """Save a managed table, read it by name, overwrite it with its own cleaned rows, and drop it.
+
+    The name is this run's own, so that runs side by side do not meet in the catalog.
+    """
+    name = tables.fresh_name("tradewind_customers")
+    try:
+        raw = tables.save_table(r.master, name)
+        return stage(tables.replace_table(quality.drop_duplicates(raw), name), "saved")
+    finally:
+        tables.drop_table(r.spark, name)
 
 
 def _metadata(r: Retail) -> DataFrame:
@@ -68,7 +73,7 @@ def _loaded(r: Retail) -> DataFrame:
 
 def _inserted(r: Retail) -> DataFrame:
     """The three tables of the star schema, written and counted."""
-    star = listing.star_schema(r.sales(raw=True))
+    star = listing.split_listing(r.sales(raw=True))
     return quality.row_counts({
         n: files.write_parquet(df, scratch_path(r.spark, n)) for n, df in star.items()})
 

@@ -75,9 +75,9 @@ ENTRIES = [
           """SELECT o_orderkey, o_totalprice,
              NTILE(7) OVER (ORDER BY o_totalprice DESC, o_orderkey) AS tile FROM orders"""),
     Entry("WN-09", "first_last_per_key",
-          lambda r: r.orders.groupBy("customer_id").agg(
-              F.min_by("status", F.struct("order_date", "order_id")).alias("first_status"),
-              F.max_by("status", F.struct("order_date", "order_id")).alias("last_status")),
+          lambda r: ordering.first_last(
+              r.orders, ["customer_id"], ["order_date", "order_id"], "status",
+              "first_status", "last_status"),
           """SELECT customer_id, MAX(status) FILTER (WHERE a = 1) AS first_status,
              MAX(status) FILTER (WHERE d = 1) AS last_status FROM (
                SELECT customer_id, status,

@@ -73,12 +73,31 @@ def percent_text(c: str | Column) -> Column:
     return F.concat(F.regexp_replace(text, "0$", ""), F.lit("%"))
 
 
+def two_decimals(c: str | Column) -> Column:
+    """A double below 10^15 with two decimals, the exact value rounded half to even, its sign kept (``-0.00``).
+
+    ``round`` goes by the shortest text of a double and ``bround`` takes 2.675 for a tie, which it is not. Here the
+    distance from the tie next to the value is worked out in steps that are exact wherever it is small:
+    200 times the fraction is 128 + 64 + 8 times it, and multiples by powers of two have no rounding.
+    """
+    size = F.abs(_col(c))
+    fraction = size - F.floor(size)
+    cents = F.floor(fraction * 100)
+    off = ((fraction * 128 - (cents * 2 + 1)) + fraction * 64) + fraction * 8
+    cents = cents + F.when((off > 0) | ((off == 0) & (cents % 2 == 1)), 1).otherwise(0)
+    whole = F.floor(size) + F.when(cents == 100, 1).otherwise(0)
+    return F.concat(
+        F.when(_col(c) < 0, F.lit("-")).otherwise(F.lit("")), whole.cast("string"),
+        F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
 def change_text(current: str | Column, previous: str | Column) -> Column:
     """Signed percent change; a zero base gives ``+100.00%`` or ``0.00%``."""
     now, was = _col(current).cast("double"), _col(previous).cast("double")
     change = F.try_divide(now - was, was) * F.lit(100.0)
     sign = F.when(change > 0, F.lit("+")).otherwise(F.lit(""))
-    digits = F.round(change, 2).cast("decimal(28,2)").cast("string")
+    # handed on by a lambda, as its text uses the change many times
+    digits = F.transform(F.array(change), two_decimals)[0]
     return (
         F.when(was == 0, F.when(now > 0, F.lit("+100.00%")).otherwise(F.lit("0.00%")))
         .otherwise(F.concat(sign, digits, F.lit("%")))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tradewind.session import stage
 
-# Orders with more lines than this are large. They are cut into blocks of about
-# this many products; the result is the same for any value.
+# Orders are cut into blocks of about this many different products; the result is
+# the same for any value.
 BLOCK = 1000
 # How many of the strongest products are paired up to find a floor.
 PROBES = 16
@@ -34,79 +34,44 @@ def pairs_per_order(items: DataFrame) -> DataFrame:
     )
 
 
-def large_orders(items: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(order_id, lines) of the orders with more than ``block`` lines."""
+def order_blocks(lines: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(order_id, blocks) of the orders with more than ``block`` different products."""
     return (
-        items.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
-        .filter(F.col("lines") > block)
+        lines.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+        .filter(F.col("blocks") > 1)
     )
 
 
-def _small_order_pairs(lines: DataFrame) -> DataFrame:
-    """Pair counts by self join; one shuffle on ``order_id`` serves both sides."""
-    left = lines.select(
-        "order_id", F.col("product_id").alias("_a"), F.col("label").alias("product_a"))
-    right = lines.select(
-        "order_id", F.col("product_id").alias("_b"), F.col("label").alias("product_b"))
-    return (
-        left.join(right, "order_id").filter(F.col("_a") < F.col("_b"))
-        .groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias(COUNT))
-    )
-
-
-def _grid_pairs(lines: DataFrame, floor: Column | None = None) -> DataFrame:
-    """Pair counts of large orders.
+def _pairs(lines: DataFrame, floor: Column | None = None) -> DataFrame:
+    """Pair counts.
 
-    ``lines`` has one row per order and product with its ``copies``, the
-    ``blocks`` its order is cut into, and the ``bound`` of its label. Every pair
-    of blocks of an order is a join key of its own, so no task holds more than
-    two blocks of it. ``floor`` drops pairs whose bound cannot reach it.
+    ``lines`` has one row per order and product with its ``copies``, the ``blocks``
+    its order is cut into, and the ``bound`` of its label. Blocks i and j of an order
+    meet for i <= j only, each pair of blocks being a join key of its own: no task
+    holds more than two blocks of an order, and no pair is made twice. ``floor`` drops
+    pairs whose bound cannot reach it.
     """
     own = F.pmod(F.hash("product_id"), F.col("blocks"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = lines.select(
-        "order_id", own.alias("_i"), every.alias("_j"), F.col("product_id").alias("_a"),
-        F.col("label").alias("product_a"), F.col("copies").alias("_ca"),
-        F.col("bound").alias("_ba"))
-    right = lines.select(
-        "order_id", every.alias("_i"), own.alias("_j"), F.col("product_id").alias("_b"),
-        F.col("label").alias("product_b"), F.col("copies").alias("_cb"),
-        F.col("bound").alias("_bb"))
-    pairs = left.join(right, ["order_id", "_i", "_j"]).filter(F.col("_a") < F.col("_b"))
+    later = F.explode(F.sequence(own, F.col("blocks") - 1))
+    earlier = F.explode(F.sequence(F.lit(0), own))
+
+    def side(i: Column, j: Column, mark: str) -> DataFrame:
+        return lines.select(
+            "order_id", i.alias("_i"), j.alias("_j"), F.col("product_id").alias(f"_id_{mark}"),
+            F.col("label").alias(f"_label_{mark}"), F.col("copies").alias(f"_copies_{mark}"),
+            F.col("bound").alias(f"_bound_{mark}"))
+
+    ordered = F.col("_id_a") < F.col("_id_b")
+    pairs = side(own, later, "a").join(side(earlier, own, "b"), ["order_id", "_i", "_j"]).filter(
+        (F.col("_i") < F.col("_j")) | ordered)
     if floor is not None:
-        pairs = pairs.filter(F.col("_ba") * F.col("_bb") >= floor)
-    return pairs.groupBy("product_a", "product_b").agg(
-        F.sum(F.col("_ca") * F.col("_cb")).alias(COUNT))
-
-
-def _large_order_pairs(
-    items: DataFrame, names: DataFrame, large: DataFrame, small_pairs: DataFrame, k: int,
-) -> DataFrame:
-    """Pair counts of large orders, for every pair that may be among the ``k`` best.
-
-    All pairs of a large order would be quadratic in its size. But two labels
-    cannot be found together more often than norm_a * norm_b, the norm being the
-    root of the summed squares of a label's lines per order (Cauchy-Schwarz; a
-    label's norm is at most the sum of its products' norms). The k-th best count
-    among the small orders, or among a few strong products in the large ones, is a
-    floor the k-th best total certainly reaches, so labels and pairs with a bound
-    below it need not be counted.
-    """
-    square = F.col("copies").cast("double") * F.col("copies")
-    norms = basket_lines(items).groupBy("product_id").agg(F.sqrt(F.sum(square)).alias("_norm"))
-    named = norms.join(names, "product_id")
-    bounds = named.groupBy("label").agg(F.sum("_norm").alias("bound"))
-    lines = basket_lines(items.join(large.select("order_id"), "order_id", "left_semi")).join(
-        large.select("order_id", "blocks"), "order_id")
-    strong = named.orderBy(F.col("_norm").desc(), "product_id").limit(PROBES)
-    probed = _grid_pairs(lines.join(
-        F.broadcast(strong.select("product_id", "label", F.col("_norm").alias("bound"))),
-        "product_id"))
-    # one part in a million off the floor makes up for rounding in the roots
-    floor = F.greatest(_kth(small_pairs, k), _kth(probed, k)) * F.lit(1 - 1e-6)
-    best = bounds.agg(F.max("bound")).scalar()
-    useful = names.join(bounds, "label").filter(F.col("bound") * best >= floor)
-    return _grid_pairs(lines.join(useful, "product_id"), floor)
+        pairs = pairs.filter(F.col("_bound_a") * F.col("_bound_b") >= floor)
+    return (
+        pairs.groupBy(
+            F.when(ordered, F.col("_label_a")).otherwise(F.col("_label_b")).alias("product_a"),
+            F.when(ordered, F.col("_label_b")).otherwise(F.col("_label_a")).alias("product_b"))
+        .agg(F.sum(F.col("_copies_a") * F.col("_copies_b")).alias(COUNT))
+    )
 
 
 def _kth(pairs: DataFrame, k: int) -> Column:
@@ -123,23 +88,32 @@ def bought_together(
     """The ``k`` label pairs most often found in one order, exactly.
 
     Counts item-row pairs with a.product_id < b.product_id, so two labels may
-    appear in either order. Orders of up to ``block`` lines are joined with
-    themselves. Larger ones, if the check finds any, are counted block by block
-    and only for pairs that can reach the result.
+    appear in either order. Equal lines of an order are folded first, and orders are
+    cut into blocks by their number of *different* products, whatever their number of lines.
+
+    All pairs of a large order would be quadratic in its products. But two labels
+    cannot be found together more often than norm_a * norm_b, the norm being the
+    root of the summed squares of a label's lines per order (Cauchy-Schwarz; a
+    label's norm is at most the sum of its products' norms). The k-th best count
+    among a few strong products is a floor that the k-th best total certainly reaches,
+    so labels and pairs with a bound below it need not be counted.
     """
     names = products.select("product_id", F.col(label).alias("label"))
+    # rows without an order or a product pair with nothing
+    bought = items.select("order_id", "product_id").dropna()
+    lines = stage(basket_lines(bought), "basket_lines")
+    large = stage(order_blocks(lines, block), "order_blocks")
+    cut = lines.join(large, "order_id", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    square = F.col("copies").cast("double") * F.col("copies")
+    norms = lines.groupBy("product_id").agg(F.sqrt(F.sum(square)).alias("_norm"))
+    # staged: Spark splits a hot product in a join only if both sides come straight out of a shuffle
+    named = stage(names.join(norms, "product_id"), "basket_norms")
+    strong = named.orderBy(F.col("_norm").desc(), "product_id").limit(PROBES).withColumnRenamed("_norm", "bound")
+    # one part in a million off the floor makes up for rounding in the roots
+    floor = _kth(_pairs(cut.join(F.broadcast(strong), "product_id")), k) * F.lit(1 - 1e-6)
+    bounds = named.groupBy("label").agg(F.sum("_norm").alias("bound"))
+    best = bounds.agg(F.max("bound")).scalar()
+    useful = stage(named.select("product_id", "label").join(bounds, "label")
+                   .filter(F.col("bound") * best >= floor), "basket_labels")
     order = [F.col(COUNT).desc(), F.col("product_a").asc(), F.col("product_b").asc()]
-    bought = items.select("order_id", "product_id")
-    large = large_orders(bought, block)
-    if large.isEmpty():
-        return _small_order_pairs(bought.join(names, "product_id")).orderBy(*order).limit(k)
-
-    large = stage(large, "large_orders").select(
-        "order_id", F.ceil(F.col("lines") / block).cast("int").alias("blocks"))
-    small = bought.join(large.select("order_id"), "order_id", "left_anti")
-    small_pairs = stage(_small_order_pairs(small.join(names, "product_id")), "small_pairs")
-    both = small_pairs.unionByName(_large_order_pairs(bought, names, large, small_pairs, k))
-    return (
-        both.groupBy("product_a", "product_b").agg(F.sum(COUNT).alias(COUNT))
-        .orderBy(*order).limit(k)
-    )
+    return _pairs(cut.join(useful, "product_id"), floor).orderBy(*order).limit(k)

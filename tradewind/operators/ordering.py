@@ -3,8 +3,10 @@
 ``ROW_NUMBER() OVER (ORDER BY x)`` has no partition key, so a plain window pulls
 every row into one task; a window partitioned by a hot key does the same to that
 key. The functions here sort with a range shuffle instead, which splits the table
-and every hot group evenly, write the sorted rows once (see ``stage``), and then
-only need one small correction per output partition:
+and every hot group evenly, write the sorted rows once as buckets of their partition
+(see ``stage_by``), and then only need one small correction per output partition.
+That range shuffle is the only time all rows move: windows inside a partition read
+the buckets as they lie.
 
 * row number, ntile   position inside the partition + rows before the partition
 * rank, dense rank, cumulative sum
@@ -23,7 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.session import stage
+from tradewind.session import stage, stage_by
 
 PART, POS, INDEX, TOTAL = "_part", "_pos", "_index", "_total"
 _POSITION_BITS = 33
@@ -43,12 +45,12 @@ def sorted_parts(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """
     numbered = df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id())
     lower = F.lit((1 << _POSITION_BITS) - 1).cast("long")
-    return (
-        stage(numbered, "ordered")
-        .withColumn(PART, F.shiftright("_slot", _POSITION_BITS))
+    placed = (
+        numbered.withColumn(PART, F.shiftright("_slot", _POSITION_BITS))
         .withColumn(POS, F.col("_slot").bitwiseAND(lower))
         .drop("_slot")
     )
+    return stage_by(placed, PART, "ordered")
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -293,21 +295,52 @@ def lag_in_group(
 
 
 def top_n_per_group(
-    df: DataFrame, group: Sequence[str], key: str, n: int, name: str = "rank"
+    df: DataFrame, group: Sequence[str], key: str, n: int, name: str = "rank", shares: int = 16
 ) -> DataFrame:
     """Rows whose DENSE_RANK in their group is at most ``n``.
 
-    Only distinct keys are ranked, and Spark keeps the first ``n`` of each group
-    before the shuffle (WindowGroupLimit): neither a hot group nor a key shared by
-    very many rows reaches one task. The rows then look up their key.
+    Rows are dealt into ``shares`` of their group at random. What is among the best
+    ``n`` of the group is so in any share as well, and Spark keeps the best ``n`` of a
+    share before the shuffle (WindowGroupLimit): each task sends on ``n`` keys for each
+    group and share, with their ties, and neither a hot group nor a key shared by very
+    many rows reaches one task. The distinct keys that are left, ``n`` for each share
+    at most, are then ranked exactly, and the rows that are left look up their key.
     """
     group = list(group)
-    w = Window.partitionBy(*group).orderBy(F.col(key).desc_nulls_last())
-    best = (
-        df.select(*group, key).distinct()
-        .withColumn(name, F.dense_rank().over(w)).filter(F.col(name) <= n)
+    best_first = F.col(key).desc_nulls_last()
+    dealt = df.withColumn("_share", (F.rand(5) * shares).cast("int"))
+    inside = Window.partitionBy(*group, "_share").orderBy(best_first)
+    left = (
+        dealt.withColumn("_rank", F.dense_rank().over(inside)).filter(F.col("_rank") <= n)
+        .drop("_rank", "_share")
     )
-    return _null_safe(df, best, [*group, key], "inner")
+    keys = left.select(*group, key).distinct()
+    best = keys.withColumn(
+        name, F.dense_rank().over(Window.partitionBy(*group).orderBy(best_first))
+    ).filter(F.col(name) <= n)
+    return _null_safe(left, best, [*group, key], "inner")
+
+
+def at_ends(df: DataFrame, group: Sequence[str], key: str) -> DataFrame:
+    """Rows that hold the smallest or the largest ``key`` of their group, with all ties; NULL keys are none.
+
+    Two extremes of a plain column are a hash aggregate, which shrinks a hot group before
+    the shuffle. What is to be picked out of the ties is then decided among few rows.
+    """
+    # staged: Spark splits a hot key in a join only if both sides come straight out of a shuffle
+    ends = stage(df.groupBy(*group).agg(F.min(key).alias("_least"), F.max(key).alias("_most")), "ends")
+    held = _null_safe(df, ends, list(group), "inner")
+    return held.filter((F.col(key) == F.col("_least")) | (F.col(key) == F.col("_most"))).drop("_least", "_most")
+
+
+def first_last(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
+    first: str, last: str,
+) -> DataFrame:
+    """``value`` of the first and of the last row of each group; later columns of ``order`` break ties."""
+    by = F.struct(*order)
+    return at_ends(df, group, order[0]).groupBy(*group).agg(
+        F.min_by(value, by).alias(first), F.max_by(value, by).alias(last))
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -38,8 +38,14 @@ def fill_nulls(df: DataFrame, value) -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    """Keep one of each set of equal rows; NULLs count as equal."""
-    return df.dropDuplicates()
+    """Keep one of each set of equal rows; NULLs count as equal.
+
+    A row is one key, so that it is dealt out by all of its columns: grouped by the
+    columns one by one, Spark would reuse the partitioning of a join below on one of
+    them, and all rows of a hot value would meet in one task.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    return df.select(row).distinct().select("_row.*")
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
@@ -191,7 +197,7 @@ def build_dimension(
     """
     if policy not in ("error", "keep_all", "first"):
         raise ValueError(f"unknown policy {policy!r}")
-    rows = df.select(key, *attributes).distinct()
+    rows = drop_duplicates(df.select(key, *attributes))
     if policy == "keep_all":
         return rows
     packed = F.struct(*[F.col(a) for a in attributes])

@@ -81,12 +81,15 @@ def ltv_quartiles(items: DataFrame, orders: DataFrame) -> DataFrame:
 def category_shift(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """First and last category each customer bought.
 
-    ``min_by`` and ``max_by`` over (date, item) find both lines in one aggregate,
-    which shrinks a busy customer before the shuffle; the products are looked up
-    for those two lines only.
+    First and last dates come from the orders that have lines, by a hash aggregate.
+    Lines are then joined with the orders of those days only, and ``min_by`` and
+    ``max_by`` over (date, item) decide between them; the products are looked up for
+    two lines of a customer.
     """
     active = R.active_orders(orders).select("order_id", "customer_id", "order_date")
-    bought = items.select("order_id", "item_id", "product_id").join(active, "order_id")
+    filled = R.present_in(active, items, "order_id")
+    edge = ordering.at_ends(filled, ["customer_id"], "order_date")
+    bought = items.select("order_id", "item_id", "product_id").join(edge, "order_id")
     when = F.struct("order_date", "item_id")
     ends = bought.groupBy("customer_id").agg(
         F.min_by("product_id", when).alias("_first"), F.max_by("product_id", when).alias("_last"))

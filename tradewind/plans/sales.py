@@ -166,8 +166,14 @@ def above_average_customers(line_sales: DataFrame) -> DataFrame:
 
 
 def top_by_sales(df: DataFrame, keys: list[str], k: int, name: str = "total_sales") -> DataFrame:
-    """The ``k`` key combinations with the highest sales."""
-    totals = df.groupBy(*keys).agg(F.sum("sales").cast("decimal(28,4)").alias(name))
+    """The ``k`` key combinations with the highest sales.
+
+    The combination is one key, so that a join below on one of its columns can be split.
+    """
+    totals = (
+        df.groupBy(F.struct(*keys).alias("_key")).agg(F.sum("sales").cast("decimal(28,4)").alias(name))
+        .select("_key.*", name)
+    )
     return ordering.top_k(totals, [F.col(name).desc(), *[F.col(c).asc() for c in keys]], k)
 
 

@@ -45,6 +45,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark).rstrip('/')}/tradewind/{uuid.uuid4().hex}/{name}"
 
 
+def stage_by(df: DataFrame, key: str, name: str = "staged") -> DataFrame:
+    """``stage``, read back so that the rows of one value of ``key`` lie together.
+
+    The files are buckets of ``key``, so a window or a join on it needs no exchange any more. The table is only
+    named while it is read: its files stay, and the name is free again.
+    """
+    spark = df.sparkSession
+    table = f"tradewind_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.format("parquet").bucketBy(buckets, key)
+     .option("path", scratch_path(spark, name)).saveAsTable(table))
+    read = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return read
+
+
 def stage(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write ``df`` once and read it back.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -61,29 +64,79 @@ def export_csv(df: DataFrame, path: str) -> DataFrame:
     return write_csv(df.repartition(1), path)
 
 
+def _qualified(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path with its scheme and host."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, system.makeQualified(at)
+
+
+def input_roots(df: DataFrame) -> list[str]:
+    """The paths that the file scans behind ``df`` were given, however many files lie below them."""
+    def items(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    plan = df._jdf.queryExecution().analyzed()
+    leaves = [leaf for p in [plan, *items(plan.subqueriesAll())] for leaf in items(p.collectLeaves())]
+    roots = []
+    for leaf in leaves:
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                roots += [_qualified(df.sparkSession, p.toString())[1].toString() for p in items(relation.location().rootPaths())]
+    return roots
+
+
 def _refuse_own_input(df: DataFrame, path: str) -> None:
-    spark = df.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    system, target = _qualified(df.sparkSession, path)
+    if not system.exists(target):
         return
-    target = path.rstrip("/").removeprefix("file:")
-    for f in df.inputFiles():
-        name = f.removeprefix("file://").removeprefix("file:")
-        if name == target or name.startswith(target + "/"):
+    target = target.toString().rstrip("/") + "/"
+    for root in input_roots(df):
+        root = root.rstrip("/") + "/"
+        if root.startswith(target) or target.startswith(root):
             raise ValueError(f"{path} is read by the data to be written; stage to a new path")
 
 
 def source_metadata(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """One row per file: path, size, last change, columns and rows."""
-    df = spark.read.format(fmt).options(**options).load(path)
-    columns = len(df.columns)
+    """One row per file: path, size, last change, rows, columns, and that it exists.
+
+    Files are listed by the binary source, which does not open them, so that files without
+    rows are there; files without a single byte, which Spark passes over, are added. A path at which
+    nothing lies gives one row with ``exists`` false and no size.
+    """
+    system, at = _qualified(spark, path)
+    kind = "file_path string, file_size long, modified timestamp"
+    if not system.exists(at):
+        missing = spark.createDataFrame([(at.toString(), None, None)], kind)
+        return missing.select("*", F.lit(0).cast("long").alias("row_count"), F.lit(None).cast("int").alias("column_count"),
+                              F.lit(False).alias("exists"))
     m = F.col("_metadata")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
+        m["file_path"].alias("file_path"), m["file_size"].alias("file_size"),
+        m["file_modification_time"].alias("modified"))
+    empty, files = [], system.listFiles(at, True)
+    while files.hasNext():
+        f = files.next()
+        if f.getLen() == 0 and f.getPath().getName()[0] not in "._":
+            changed = dt.datetime.fromtimestamp(f.getModificationTime() / 1000)
+            empty.append((f.getPath().toUri().toString().replace("file:/", "file:///", 1), 0, changed))
+    listed = listed.unionByName(spark.createDataFrame(empty, kind))
+    try:
+        df = spark.read.format(fmt).options(**options).load(path)
+    except AnalysisException:
+        if not listed.filter("file_size > 0").isEmpty():
+            raise
+        df = spark.range(0).select(F.lit(None).cast("string").alias("_none"))  # nothing to take a layout from
+        counts = df.select(F.col("_none").alias("file_path"), F.lit(0).cast("long").alias("row_count"))
+        columns = 0
+    else:
+        counts = df.groupBy(m["file_path"].alias("file_path")).agg(F.count(F.lit(1)).alias("row_count"))
+        columns = len(df.columns)
     return (
-        df.groupBy(
-            m["file_path"].alias("file_path"), m["file_size"].alias("file_size"),
-            m["file_modification_time"].alias("modified"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .withColumn("column_count", F.lit(columns))
+        listed.join(counts, "file_path", "left")
+        .select("file_path", "file_size", "modified", F.coalesce("row_count", F.lit(0)).alias("row_count"),
+                F.lit(columns).alias("column_count"), F.lit(True).alias("exists"))
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,16 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return read_table(df.sparkSession, name)
 
 
+def fresh_name(prefix: str) -> str:
+    """A table name that no other run has."""
+    return f"{prefix}_{uuid.uuid4().hex}"
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Forget a table; the files of a managed one go with it."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,41 +25,101 @@ def stream_batches(
     )
 
 
-def _version(folder: str, batch_id: int) -> str:
-    return f"{folder.rstrip('/')}/version={batch_id:010d}"
+def _version(folder: str, number: int) -> str:
+    return f"{folder.rstrip('/')}/version={number:010d}"
 
 
-def latest(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    """The table as written by one batch; -1 is the first load."""
-    return files.read_parquet(spark, _version(folder, batch_id + 1))
+def _system(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _numbers(spark: SparkSession, pattern: str, part: int) -> list[int]:
+    """The numbers in one part (counted from the end) of the paths that fit."""
+    system, at = _system(spark, pattern)
+    return sorted(int(f.getPath().toString().split("/")[part].rpartition("=")[2]) for f in system.globStatus(at) or [])
+
+
+def complete(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of all versions that were written in full."""
+    return _numbers(spark, f"{folder.rstrip('/')}/version=*/_SUCCESS", -2)
+
+
+def version(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    return files.read_parquet(spark, _version(folder, number))
 
 
 def newest(spark: SparkSession, folder: str) -> DataFrame:
     """The table as last written in full, whatever the stream that wrote it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    marks = path(f"{folder.rstrip('/')}/version=*/_SUCCESS")
-    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
-    return files.read_parquet(spark, max(f.getPath().getParent().toString() for f in found))
+    found = complete(spark, folder)
+    if not found:
+        raise FileNotFoundError(f"no version of a table was written in full below {folder}")
+    return version(spark, folder, found[-1])
+
+
+def expire(spark: SparkSession, folder: str, keep: int) -> list[int]:
+    """Delete all but the newest ``keep`` complete versions; returns the numbers of those that went.
+
+    A mark of each stays, so that a repeated batch still knows that it was merged.
+    """
+    if keep < 1:
+        raise ValueError("at least the newest version has to stay")
+    gone = complete(spark, folder)[:-keep]
+    for number in gone:
+        _create(spark, f"{folder.rstrip('/')}/expired/{number:010d}", True)
+        system, at = _system(spark, _version(folder, number))
+        system.delete(at, True)
+    return gone
 
 
 def first_load(df: DataFrame, folder: str) -> DataFrame:
     return files.write_parquet(df, _version(folder, 0))
 
 
+def _create(spark: SparkSession, path: str, again: bool = False) -> None:
+    """An empty file; an error if it is there, unless ``again``."""
+    system, at = _system(spark, path)
+    system.create(at, again).close()
+
+
+def _claim(spark: SparkSession, folder: str, owner: str) -> int:
+    """The version after all that exist or are claimed, taken for a batch.
+
+    Creating a file fails if it is there, so two writers never share a version.
+    """
+    folder = folder.rstrip("/")
+    number = 1 + max([*complete(spark, folder), *_numbers(spark, f"{folder}/claims/*", -1)])
+    _create(spark, f"{folder}/claims/{number:010d}")
+    _create(spark, f"{folder}/owners/{owner}/{number:010d}")
+    return number
+
+
+def _merged(spark: SparkSession, folder: str, owner: str) -> bool:
+    """Whether a version of this batch was written in full, even if it has expired since."""
+    folder = folder.rstrip("/")
+    own = set(_numbers(spark, f"{folder}/owners/{owner}/*", -1))
+    return bool(own & {*complete(spark, folder), *_numbers(spark, f"{folder}/expired/*", -1)})
+
+
 def merge_stream(
     batches: DataFrame, folder: str, checkpoint: str,
     merge: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> StreamingQuery:
     """Fold every micro-batch into the table below ``folder``.
 
-    Batch n reads version n and writes version n + 1. A batch repeated after a
-    failure reads the same version again and overwrites its own output, so each
-    batch counts exactly once.
+    A batch reads the newest complete version and writes the one after all others, claimed in the name of
+    the stream (its checkpoint's id) and the batch. So a stream with a new checkpoint goes on where the table
+    stands, and a batch repeated after a failure finds out whether it was merged: with a complete
+    version of its own it does nothing, otherwise it starts anew from the newest one. Each batch counts exactly
+    once. One stream at a time may write a table.
     """
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        files.write_parquet(
-            merge(latest(spark, folder, batch_id - 1), batch), _version(folder, batch_id + 1))
+        stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+        owner = f"{stream}/{batch_id}"
+        if not _merged(spark, folder, owner):
+            merged = merge(newest(spark, folder), batch)
+            files.write_parquet(merged, _version(folder, _claim(spark, folder, owner)))
 
     return (
         batches.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
