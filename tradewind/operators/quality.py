@@ -201,7 +201,12 @@ def build_dimension(
     if policy == "keep_all":
         return rows
     packed = F.struct(*[F.col(a) for a in attributes])
-    one = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(packed).alias("_row"))
+    # the key as a struct, so that a join below on the key itself can be split
+    one = (
+        rows.groupBy(F.struct(key).alias("_key"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(packed).alias("_row"))
+        .select(F.col("_key")[key].alias(key), "_n", "_row")
+    )
     if policy == "error":
         message = F.concat(F.lit("several attribute rows for key "), F.col(key).cast("string"))
         one = one.filter(F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.lit(True)))
