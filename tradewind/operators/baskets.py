@@ -42,7 +42,7 @@ def order_blocks(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
-def _pairs(lines: DataFrame, floor: Column | None = None) -> DataFrame:
+def _pairs(lines: DataFrame, floor: float = 0) -> DataFrame:
     """Pair counts.
 
     ``lines`` has one row per order and product with its ``copies``, the ``blocks``
@@ -64,7 +64,7 @@ def _pairs(lines: DataFrame, floor: Column | None = None) -> DataFrame:
     ordered = F.col("_id_a") < F.col("_id_b")
     pairs = side(own, later, "a").join(side(earlier, own, "b"), ["order_id", "_i", "_j"]).filter(
         (F.col("_i") < F.col("_j")) | ordered)
-    if floor is not None:
+    if floor > 1:  # every pair there is counts once at least
         pairs = pairs.filter(F.col("_bound_a") * F.col("_bound_b") >= floor)
     return (
         pairs.groupBy(
@@ -74,11 +74,11 @@ def _pairs(lines: DataFrame, floor: Column | None = None) -> DataFrame:
     )
 
 
-def _kth(pairs: DataFrame, k: int) -> Column:
+def _kth(pairs: DataFrame, k: int) -> float:
     """The k-th best count, or 1 if there are fewer pairs."""
     best = pairs.orderBy(F.col(COUNT).desc()).limit(k)
     return best.agg(
-        F.when(F.count(F.lit(1)) == k, F.min(COUNT)).otherwise(1).cast("double")).scalar()
+        F.when(F.count(F.lit(1)) == k, F.min(COUNT)).otherwise(1).cast("double")).first()[0]
 
 
 def bought_together(
@@ -110,9 +110,9 @@ def bought_together(
     named = stage(names.join(norms, "product_id"), "basket_norms")
     strong = named.orderBy(F.col("_norm").desc(), "product_id").limit(PROBES).withColumnRenamed("_norm", "bound")
     # one part in a million off the floor makes up for rounding in the roots
-    floor = _kth(_pairs(cut.join(F.broadcast(strong), "product_id")), k) * F.lit(1 - 1e-6)
+    floor = _kth(_pairs(cut.join(F.broadcast(strong), "product_id")), k) * (1 - 1e-6)
     bounds = named.groupBy("label").agg(F.sum("_norm").alias("bound"))
-    best = bounds.agg(F.max("bound")).scalar()
+    best = bounds.agg(F.max("bound")).first()[0] or 0.0
     useful = stage(named.select("product_id", "label").join(bounds, "label")
                    .filter(F.col("bound") * best >= floor), "basket_labels")
     order = [F.col(COUNT).desc(), F.col("product_a").asc(), F.col("product_b").asc()]
