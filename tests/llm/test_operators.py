@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -324,7 +325,7 @@ def test_html(spark):
         article = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S)[1]
         want = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:p|h1)>", article)]
         assert r.text == "\n".join(filter(None, want)) and r.n_chars == len(r.text)
-    tree = html_text.train(html_text.LABELLED)
+    tree = html_text.train(html_text.labelled())
     assert html_text.main_text(None, tree) == "" == html_text.main_text("<p", tree)
     long = "many words that tell a story of foxes and dogs " * 3
     page = (f"<div class=cookie-notice>{long}</div><div><h1>A &lt;b&gt;</h1><p>{long}<p>Short.<p>{long}</div>"
@@ -344,10 +345,74 @@ def test_html(spark):
     ('<article class="comment-list" hidden>{0}</article><p>{0}</p>', "{0}")])
 def test_html_names(page, want):
     long = "many words that tell a story of foxes and dogs " * 3
-    tree = html_text.train(html_text.LABELLED)
+    tree = html_text.train(html_text.labelled())
     assert html_text.main_text(page.format(long), tree) == want.format(long.strip())
 
 
+STORY = "many words that tell a story of foxes and dogs " * 3
+LINKS = "<ul><li><a>one</a></li><li><a>two</a></li><li><a>three</a></li></ul>"
+
+
+@pytest.mark.parametrize("page, want", [
+    # links within a marked article: paragraphs of links are text, a list of three links is a menu
+    ("<article><p>{0}</p><p>See <a href=x>link one</a></p><p>{0}</p></article>", "{0}\nSee link one\n{0}"),
+    ("<article><p>{0}</p><p><a>all link</a></p><p>{0}</p><p><a>x</a></p><p><a>y</a></p><p><a>z</a></p></article>", "{0}\nall link\n{0}\nx\ny\nz"),
+    ("<nav>" + LINKS + "</nav><article>Go<div>{0}</div>" + LINKS + "<p>{0}</p></article><div>{0}</div>", "Go\n{0}\n{0}"),
+    ("<article><p>{0}<ul><li><a>one</a><li><a>two</a></ul></article>", "{0}\none\ntwo"),
+    # pages that mark nothing
+    ("<p>Only short text here.</p>", "Only short text here."), ("Only short text", "Only short text"), ("<p>a<p>b", "a\nb"),
+    ("<div>Site</div>" + LINKS + "<div>{0}</div><div><a>one link</a></div><div>{0}</div>" + LINKS + "<div>(c) 2020</div>", "{0}\none link\n{0}"),
+    ("<h1>T</h1><p>{0}</p>" + LINKS + "<p>{0}</p>", "T\n{0}\n{0}"), ("<div><a>Home</a></div><h1>T</h1><p>{0}", "T\n{0}"),
+    ("<h2>Cake</h2><ul><li>Flour<li>Eggs<li>Milk</ul><p>Mix.</p>", "Cake\nFlour\nEggs\nMilk\nMix."), (LINKS, ""), ("<p>a < b", "a < b"), ("{0}<p", "{0}")])
+def test_html_links(page, want):
+    tree = html_text.train(html_text.labelled())
+    assert html_text.main_text(page.format(STORY), tree) == want.format(STORY.strip())
+
+
+def test_html_without_marks():
+    """The given pages with every mark of a part taken away: neighbours, runs and elements alone find the same blocks."""
+    tree = html_text.train(html_text.labelled())
+    pages = pq.read_table(f"{DATA}/pages.parquet", columns=["html"]).column("html").to_pylist()
+    assert len(pages) > 20
+    for page in pages:
+        bare = re.sub(r"(</?)(article|nav|footer)>", r"\1div>", page).replace(' class="ad"', "")
+        assert html_text.main_text(bare, tree) == html_text.main_text(page, tree) != ""
+        # a paragraph that is a link after each paragraph but the last
+        linked = re.sub(r"</p>(?=<p>)", "</p><p><a href=x>so it is</a></p>", bare)
+        found = html_text.main_text(linked, tree).split("\n")
+        assert found.count("so it is") == linked.count("so it is")
+
+
+def test_html_tree():
+    """What is marked decides alone: nothing aside or outside of an article is text, all of an article but runs of links is."""
+    tree = html_text.train(html_text.labelled())
+    table = html_text.labelled()
+    assert all(html_text.verdict(tree, tuple(x)) == bool(y) for *x, y in table)
+    for words in (1, 2, 5, 9, 23, 43, 150, 1000):
+        for density in (0.0, 0.3, 0.5, 0.6, 0.96, 1.0):
+            for before in ((0, 0.0), (1, 1.0), (4, 0.0), (60, 0.4), (60, 0.0)):
+                for after in ((0, 0.0), (1, 1.0), (4, 0.0), (60, 0.4), (60, 0.0)):
+                    for kind in (0, 1, 2):
+                        for run in ((1, 2, 3, 9) if density > html_text.LINKED else (0,)):
+                            x = (words, density, *before, *after)
+                            assert not any(html_text.verdict(tree, (*x, 1, place, kind, run)) for place in (0, 1, 2))
+                            assert not html_text.verdict(tree, (*x, 0, 0, kind, run))
+                            assert html_text.verdict(tree, (*x, 0, 2, kind, run)) == (run < 3 or kind == 2)
+
+
+def test_html_rows(spark):
+    """Null and repeated ids, a page of 3 million code points, null and empty pages, clashing columns, an empty table."""
+    page = f"<article><p>{STORY}</p></article>"
+    big = "<p>" + STORY * 20000 + "</p>"
+    rows = [(None, "u", page, "x", 1), (1, None, page, "x", 1), (1, None, page, "x", 1), (2, "u", None, "x", 1), (3, "u", "", "x", 1), (4, "u", big, "x", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
+    got = sorted(((r.page_id or 0, r.url, r.text, r.n_chars) for r in html_text.extract(pages).collect()), key=lambda r: r[0])
+    whole = (STORY * 20000).strip()
+    assert got == [(0, "u", STORY.strip(), len(STORY.strip())), *[(1, None, STORY.strip(), len(STORY.strip()))] * 2, (2, "u", "", 0), (3, "u", "", 0),
+                   (4, "u", whole, len(whole))]
+    assert html_text.extract(pages.limit(0)).collect() == []
+
+
 def test_ranking(spark, odd):
     rows = by_id(queries.op9_pairwise_ranking(spark, "/root/testdata/sf0.01"))
     labels = {r.doc_id: r.quality for r in queries.table(spark, "/root/testdata/sf0.01", "labels").collect()}

@@ -1,8 +1,10 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page becomes a flat list of blocks, cut wherever markup starts a new line. A block is described by its
-word count and link density, those of the block before and after it, and where it stands; a tree
-trained on the small table below decides which blocks are the article.
+word count and link density, those of the block before and after it, the length of the run of links it is
+in, its element and where it stands; a tree trained on the small table below decides which blocks are the
+article. In a marked article that leaves links in prose and paragraphs that are links; only lists of three
+links or more are menus. On pages that mark nothing, the neighbours tell a menu from a link in the text.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +49,15 @@ HEAD = re.compile(r"(?:^|(?<=\s))(?:(?:site|page|main|top|global)[_-]+)?header(?
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _SKIP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+#: a tag at the end of a page that was cut off
+_CUT = re.compile(r"</?[a-zA-Z][^\s<>]*\Z")
 _NAMES = re.compile(r"""([^\s"'=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+#: the element that holds a block: 2 for running text, 1 for items and cells, 0 for a box
+KINDS = {**dict.fromkeys("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption address".split(), 2), **dict.fromkeys("li dt dd td th".split(), 1)}
+#: a block with a greater share of linked words counts as a link
+LINKED = 0.5
+#: so many links in a row make a menu of a list within an article
+MENU = 3
 #: how surely a block is no article: by class or id, or by the element, its role or being hidden
 NAMED, SURE = 1, 2
 
@@ -60,6 +71,7 @@ class Block:
     main: bool
     #: in an article within a part that only its class or id calls no article
     held: bool = False
+    kind: int = 0
 
     @property
     def density(self) -> float:
@@ -97,8 +109,8 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, int, bool, bool]] = []
-    state = [0, False, False]
+    stack: list[tuple[str, int, bool, bool, int]] = []
+    state = [0, False, False, 0]
     link, at, end = False, 0, len(page)
 
     def flush() -> None:
@@ -110,7 +122,7 @@ def blocks(page: str | None) -> list[Block]:
 
     def pop(to: int) -> None:
         del stack[to:]
-        state[:] = stack[-1][1:] if stack else (0, False, False)
+        state[:] = stack[-1][1:] if stack else (0, False, False, 0)
 
     while at < end:
         cut = page.find("<", at)
@@ -128,6 +140,8 @@ def blocks(page: str | None) -> list[Block]:
             skip = _SKIP.match(page, cut)
             if skip:
                 at = skip.end()
+            elif _CUT.match(page, cut):
+                at = end
             else:  # a lone "<" is text
                 parts.append("<")
                 at = cut + 1
@@ -162,7 +176,8 @@ def blocks(page: str | None) -> list[Block]:
                 if name == "li" and stack and stack[-1][0] == "li":
                     pop(len(stack) - 1)
                     own = _aside(name, attributes, state[1] or state[2])
-                aside, main, held = max(state[0], own), state[1], state[2]
+                aside, main, held, kind = max(state[0], own), *state[1:]
+                kind = KINDS.get(name, 0) if name in BLOCKS else kind
                 if name in ("article", "main") or "role" in attributes.lower():
                     is_main = _is_main(name, attributes)
                     if aside < SURE and is_main:
@@ -170,8 +185,8 @@ def blocks(page: str | None) -> list[Block]:
                     elif name == "article" and not main and not held:
                         main, held = not aside, aside == NAMED
                         aside = 0 if held else aside
-                stack.append((name, aside, main, held))
-                state[:] = (aside, main, held)
+                stack.append((name, aside, main, held, kind))
+                state[:] = (aside, main, held, kind)
     flush()
     marked = any(b.main for b in out)
     for block in out:
@@ -180,43 +195,80 @@ def blocks(page: str | None) -> list[Block]:
     return out
 
 
-FEATURES = ("words", "density", "words before", "density before", "words after", "density after", "aside", "place")
-#: place: 2 in the page's article, 1 on a page that marks none, 0 outside of it. The last column says article or not.
-LABELLED = np.array([
-    # paragraphs, headings and list items of a marked article
-    (60, 0.0, 12, 0.0, 45, 0.0, 0, 2, 1), (12, 0.0, 6, 0.0, 60, 0.0, 0, 2, 1), (2, 0.0, 80, 0.0, 30, 0.0, 0, 2, 1),
-    (1, 0.0, 2, 0.0, 3, 0.0, 0, 2, 1), (35, 0.2, 40, 0.0, 3, 1.0, 0, 2, 1), (8, 0.0, 5, 1.0, 0, 0.0, 0, 2, 1),
-    (5, 0.4, 50, 0.0, 6, 0.2, 0, 2, 1), (200, 0.1, 0, 0.0, 0, 0.0, 0, 2, 1), (3, 0.0, 0, 0.0, 0, 0.0, 0, 2, 1),
-    (20, 0.0, 50, 0.0, 1, 0.0, 0, 2, 1), (40, 0.0, 30, 0.0, 1, 0.0, 0, 2, 1), (6, 0.0, 70, 0.0, 0, 0.0, 0, 2, 1),
-    (1, 0.0, 60, 0.0, 50, 0.0, 0, 2, 1), (100, 0.0, 50, 0.0, 1, 0.0, 0, 2, 1), (1, 0.0, 90, 0.0, 0, 0.0, 0, 2, 1),
-    (9, 0.0, 35, 0.0, 2, 1.0, 0, 2, 1), (5, 0.0, 55, 0.0, 4, 1.0, 0, 2, 1), (2, 0.0, 3, 0.0, 2, 0.0, 0, 2, 1),
-    (4, 0.0, 2, 0.0, 5, 0.3, 0, 2, 1), (6, 0.1, 5, 0.2, 3, 0.0, 0, 2, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0, 2, 1),
-    # runs of links within it
-    (4, 1.0, 5, 1.0, 4, 1.0, 0, 2, 0), (3, 1.0, 40, 0.0, 3, 1.0, 0, 2, 0), (9, 1.0, 7, 1.0, 0, 0.0, 0, 2, 0),
-    (2, 1.0, 2, 1.0, 90, 0.0, 0, 2, 0), (7, 0.95, 60, 0.0, 8, 0.9, 0, 2, 0),
-    # menus, headers, footers, sidebars, notices, adverts, forms and comments that say what they are
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, 1, 0), (9, 0.0, 1, 1.0, 12, 0.0, 1, 0, 0), (60, 0.0, 40, 0.0, 50, 0.0, 1, 2, 0),
-    (25, 0.0, 30, 0.0, 20, 0.0, 1, 0, 0), (80, 0.1, 15, 0.0, 70, 0.0, 1, 1, 0), (6, 0.2, 90, 0.0, 0, 0.0, 1, 0, 0),
-    (3, 0.0, 2, 0.0, 2, 0.0, 1, 2, 0), (120, 0.0, 5, 0.0, 9, 0.0, 1, 1, 0), (15, 0.0, 100, 0.0, 60, 0.0, 1, 2, 0),
-    # what stands outside of a marked article
-    (10, 0.0, 5, 1.0, 12, 0.0, 0, 0, 0), (40, 0.0, 3, 0.5, 11, 0.0, 0, 0, 0), (2, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0),
-    (70, 0.0, 60, 0.0, 4, 0.2, 0, 0, 0), (5, 0.0, 80, 0.0, 0, 0.0, 0, 0, 0),
-    # pages that mark nothing: long texts with few links, and short ones next to them
-    (60, 0.0, 10, 0.0, 50, 0.0, 0, 1, 1), (40, 0.1, 60, 0.0, 8, 0.0, 0, 1, 1), (25, 0.0, 3, 1.0, 70, 0.1, 0, 1, 1),
-    (18, 0.0, 20, 0.0, 25, 0.0, 0, 1, 1), (90, 0.25, 2, 1.0, 4, 1.0, 0, 1, 1), (12, 0.0, 50, 0.0, 60, 0.0, 0, 1, 1),
-    (3, 0.0, 45, 0.0, 70, 0.0, 0, 1, 1), (7, 0.0, 2, 1.0, 55, 0.0, 0, 1, 1), (9, 0.0, 4, 0.0, 80, 0.0, 0, 1, 1),
-    (5, 0.0, 30, 0.1, 40, 0.0, 0, 1, 1), (4, 0.0, 60, 0.0, 30, 0.0, 0, 1, 1), (150, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1),
-    (30, 0.0, 60, 0.0, 0, 0.0, 0, 1, 1), (45, 0.0, 90, 0.0, 1, 0.0, 0, 1, 1), (20, 0.0, 35, 0.0, 2, 1.0, 0, 1, 1),
-    (2, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0), (3, 1.0, 40, 0.0, 2, 1.0, 0, 1, 0), (5, 0.8, 4, 1.0, 60, 0.0, 0, 1, 0),
-    (4, 0.0, 2, 1.0, 3, 1.0, 0, 1, 0), (6, 0.0, 0, 0.0, 2, 1.0, 0, 1, 0), (5, 0.0, 50, 0.0, 0, 0.0, 0, 1, 0),
-    (25, 0.7, 30, 0.0, 20, 0.8, 0, 1, 0), (60, 0.9, 5, 0.0, 3, 1.0, 0, 1, 0), (8, 0.0, 6, 0.0, 4, 0.3, 0, 1, 0),
-    (3, 0.0, 60, 0.0, 2, 1.0, 0, 1, 0), (10, 0.5, 8, 0.6, 9, 0.5, 0, 1, 0),
-])
+FEATURES = ("words", "density", "words before", "density before", "words after", "density after", "aside", "place", "kind", "run")
+#: The training table: pages, each a list of blocks with words, density, kind, aside, place and whether it is article. What is
+#: before, after and the run come from the blocks next to it. kind: see KINDS. place: 2 in the page's article, 1 on a page
+#: that marks none, 0 outside of it.
+LABELLED = (
+    # marked articles between menus, headers, footers, adverts and notices; links in their prose, and paragraphs that are links
+    ((1, 1.0, 1, 1, 0, 0), (2, 1.0, 1, 1, 0, 0), (1, 1.0, 1, 1, 0, 0), (9, 0.0, 0, 1, 0, 0), (8, 0.0, 2, 0, 2, 1), (60, 0.0, 2, 0, 2, 1),
+     (3, 1.0, 2, 0, 2, 1), (45, 0.2, 2, 0, 2, 1), (12, 0.6, 2, 0, 2, 1), (2, 0.0, 2, 0, 2, 1), (60, 0.0, 0, 1, 2, 0), (11, 0.1, 0, 1, 0, 0)),
+    ((40, 0.0, 0, 0, 0, 0), (2, 0.0, 2, 0, 0, 0), (12, 0.0, 2, 0, 2, 1), (2, 1.0, 2, 0, 2, 1), (3, 1.0, 2, 0, 2, 1), (4, 1.0, 2, 0, 2, 1),
+     (1, 0.0, 2, 0, 2, 1), (5, 0.4, 1, 0, 2, 1), (3, 0.0, 1, 0, 2, 1), (200, 0.1, 0, 0, 2, 1), (2, 0.0, 0, 0, 2, 1), (70, 0.0, 2, 0, 0, 0)),
+    ((5, 1.0, 2, 0, 2, 1), (35, 0.0, 2, 0, 2, 1), (2, 1.0, 1, 0, 2, 1), (3, 1.0, 1, 0, 2, 1), (20, 0.0, 2, 0, 2, 1), (1, 1.0, 0, 0, 2, 1),
+     (6, 0.0, 1, 0, 2, 1), (4, 0.9, 2, 0, 2, 1), (4, 1.0, 2, 0, 0, 0)),
+    ((2, 1.0, 1, 1, 0, 0), (4, 0.0, 0, 0, 2, 1), (60, 0.0, 2, 0, 2, 1)), ((1, 1.0, 0, 0, 0, 0), (1, 0.0, 0, 0, 2, 1), (30, 0.0, 0, 0, 2, 1)),
+    ((1, 0.0, 2, 0, 2, 1),), ((4, 1.0, 2, 0, 2, 1),), ((2, 0.0, 0, 0, 2, 1), (1, 0.0, 0, 0, 2, 1)),
+    # what stands outside of a marked article, whatever it looks like
+    ((90, 0.0, 2, 0, 0, 0), (150, 0.1, 0, 0, 0, 0), (2, 0.0, 0, 0, 0, 0), (10, 0.0, 1, 0, 0, 0), (30, 0.0, 0, 0, 2, 1), (50, 0.0, 0, 0, 0, 0),
+     (5, 0.5, 2, 0, 0, 0), (4, 1.0, 2, 0, 0, 0), (25, 0.0, 0, 0, 0, 0), (60, 0.0, 2, 0, 0, 0), (1, 0.0, 0, 0, 0, 0), (1, 1.0, 0, 0, 0, 0),
+     (200, 0.0, 0, 0, 0, 0), (8, 0.3, 1, 0, 0, 0)),
+    # runs of links in a marked article that stand in a list or a bare box: menus within it
+    ((50, 0.0, 2, 0, 2, 1), (4, 1.0, 1, 0, 2, 0), (3, 1.0, 1, 0, 2, 0), (5, 1.0, 1, 0, 2, 0), (7, 0.9, 1, 0, 2, 0), (40, 0.0, 2, 0, 2, 1)),
+    ((2, 1.0, 0, 0, 2, 0), (2, 1.0, 0, 0, 2, 0), (3, 1.0, 0, 0, 2, 0), (90, 0.0, 2, 0, 2, 1), (6, 0.0, 2, 0, 2, 1)),
+    # what says that it is no article, on a page that marks none
+    ((3, 0.0, 2, 1, 1, 0), (120, 0.0, 2, 1, 1, 0), (80, 0.1, 0, 1, 1, 0), (25, 0.0, 2, 0, 1, 1), (15, 0.0, 1, 1, 1, 0), (30, 0.0, 2, 1, 1, 0)),
+    # pages that mark nothing: a menu, a line between it and the heading, the article, a line at the foot
+    ((1, 1.0, 1, 0, 1, 0), (2, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (9, 0.0, 0, 0, 1, 0), (8, 0.0, 2, 0, 1, 1),
+     (60, 0.0, 2, 0, 1, 1), (3, 1.0, 2, 0, 1, 1), (45, 0.1, 2, 0, 1, 1), (4, 0.0, 2, 0, 1, 1), (12, 0.0, 0, 0, 1, 0)),
+    ((2, 0.0, 0, 0, 1, 0), (1, 1.0, 0, 0, 1, 0), (2, 1.0, 0, 0, 1, 0), (2, 1.0, 0, 0, 1, 0), (14, 0.0, 0, 0, 1, 0), (3, 0.0, 2, 0, 1, 1),
+     (90, 0.2, 2, 0, 1, 1), (18, 0.0, 2, 0, 1, 1), (5, 0.0, 0, 0, 1, 0)),
+    ((3, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (4, 1.0, 1, 0, 1, 0), (15, 0.0, 2, 0, 1, 1), (25, 0.0, 2, 0, 1, 1), (9, 0.0, 2, 0, 1, 1),
+     (30, 0.0, 2, 0, 1, 1), (8, 0.0, 0, 0, 1, 0)),
+    # a block of links between two long texts is text, among links it is a menu, whatever its element
+    ((70, 0.0, 2, 0, 1, 1), (5, 1.0, 0, 0, 1, 1), (50, 0.0, 2, 0, 1, 1), (4, 0.8, 1, 0, 1, 1), (60, 0.0, 2, 0, 1, 1), (2, 1.0, 2, 0, 1, 1),
+     (3, 1.0, 2, 0, 1, 1), (40, 0.0, 2, 0, 1, 1), (25, 0.6, 2, 0, 1, 1), (30, 0.0, 0, 0, 1, 1), (6, 0.5, 0, 0, 1, 1), (80, 0.0, 0, 0, 1, 1)),
+    ((60, 0.0, 2, 0, 1, 1), (3, 1.0, 2, 0, 1, 0), (5, 1.0, 2, 0, 1, 0), (8, 1.0, 2, 0, 1, 0), (25, 0.7, 2, 0, 1, 0), (60, 0.9, 0, 0, 1, 0)),
+    ((70, 0.0, 0, 0, 1, 1), (3, 0.0, 0, 0, 1, 0), (2, 1.0, 0, 0, 1, 0), (4, 1.0, 0, 0, 1, 0), (5, 1.0, 0, 0, 1, 0), (2, 1.0, 0, 0, 1, 0)),
+    ((4, 1.0, 2, 0, 1, 0), (2, 1.0, 2, 0, 1, 0), (5, 0.8, 2, 0, 1, 0), (10, 0.0, 2, 0, 1, 1), (40, 0.1, 2, 0, 1, 1), (20, 0.0, 2, 0, 1, 1)),
+    # link lines at the head and foot of a page that are no run
+    ((3, 1.0, 0, 0, 1, 0), (7, 0.0, 2, 0, 1, 1), (55, 0.0, 2, 0, 1, 1), (3, 1.0, 0, 0, 1, 0)),
+    ((4, 1.0, 0, 0, 1, 0), (2, 1.0, 0, 0, 1, 0), (80, 0.0, 0, 0, 1, 1), (60, 0.1, 0, 0, 1, 1), (6, 0.8, 0, 0, 1, 0)),
+    ((1, 1.0, 2, 0, 1, 0), (12, 0.0, 2, 0, 1, 1), (20, 0.0, 2, 0, 1, 1), (9, 1.0, 2, 0, 1, 1), (24, 0.0, 2, 0, 1, 1), (2, 1.0, 1, 0, 1, 0)),
+    ((30, 0.0, 0, 0, 1, 1), (1, 1.0, 0, 0, 1, 1), (100, 0.1, 0, 0, 1, 1), (8, 1.0, 0, 0, 1, 1), (22, 0.0, 0, 0, 1, 1), (12, 1.0, 0, 0, 1, 0)),
+    ((150, 0.0, 2, 0, 1, 1), (1, 1.0, 2, 0, 1, 1), (150, 0.0, 2, 0, 1, 1), (6, 0.7, 2, 0, 1, 1), (35, 0.2, 2, 0, 1, 1), (10, 1.0, 2, 0, 1, 0)),
+    # runs of links between long texts, and lines beside them
+    ((60, 0.0, 2, 0, 1, 1), (1, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (2, 1.0, 1, 0, 1, 0), (60, 0.0, 2, 0, 1, 1), (5, 1.0, 0, 0, 1, 0),
+     (5, 1.0, 0, 0, 1, 0), (8, 1.0, 0, 0, 1, 0), (5, 1.0, 0, 0, 1, 0), (90, 0.0, 2, 0, 1, 1)),
+    ((1, 0.0, 0, 0, 1, 0), (3, 1.0, 0, 0, 1, 0), (3, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (1, 0.0, 0, 0, 1, 0), (6, 0.0, 2, 0, 1, 1), (40, 0.0, 2, 0, 1, 1),
+     (1, 0.0, 0, 0, 1, 0)),
+    ((5, 0.0, 0, 0, 1, 0), (9, 1.0, 1, 0, 1, 0), (9, 1.0, 1, 0, 1, 0), (2, 1.0, 1, 0, 1, 0), (20, 0.0, 0, 0, 1, 0), (2, 0.0, 2, 0, 1, 1), (25, 0.0, 2, 0, 1, 1),
+     (20, 0.0, 0, 0, 1, 0)),
+    ((10, 0.0, 0, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (35, 0.0, 0, 0, 1, 1), (30, 0.0, 0, 0, 1, 1), (2, 0.0, 0, 0, 1, 0)),
+    ((1, 1.0, 1, 0, 1, 0), (3, 1.0, 1, 0, 1, 0), (9, 0.0, 0, 0, 1, 0), (25, 0.0, 2, 0, 1, 1), (70, 0.0, 2, 0, 1, 1), (5, 1.0, 2, 0, 1, 1),
+     (9, 1.0, 2, 0, 1, 1), (80, 0.0, 2, 0, 1, 1), (1, 1.0, 2, 0, 1, 1), (1, 1.0, 2, 0, 1, 1), (30, 0.0, 0, 0, 1, 1), (20, 0.0, 0, 0, 1, 0)),
+    ((2, 1.0, 0, 0, 1, 0), (1, 1.0, 0, 0, 1, 0), (3, 1.0, 0, 0, 1, 0), (20, 0.0, 0, 0, 1, 0), (40, 0.0, 2, 0, 1, 1), (90, 0.0, 2, 0, 1, 1), (4, 1.0, 1, 0, 1, 1),
+     (12, 1.0, 1, 0, 1, 1), (22, 0.0, 2, 0, 1, 1), (1, 0.0, 0, 0, 1, 0)),
+    ((1, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (3, 0.0, 0, 0, 1, 0), (150, 0.0, 2, 0, 1, 1), (2, 1.0, 2, 0, 1, 0), (2, 1.0, 2, 0, 1, 0),
+     (2, 1.0, 2, 0, 1, 0), (150, 0.0, 2, 0, 1, 1), (9, 1.0, 1, 0, 1, 0), (4, 1.0, 1, 0, 1, 0), (9, 1.0, 1, 0, 1, 0), (25, 0.0, 2, 0, 1, 1)),
+    ((2, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (6, 0.0, 0, 0, 1, 0), (12, 0.0, 2, 0, 1, 1), (50, 0.0, 2, 0, 1, 1), (15, 0.0, 0, 0, 1, 0)),
+    ((1, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 0, 1, 0), (2, 1.0, 1, 0, 1, 0), (15, 0.0, 0, 0, 1, 0), (16, 0.0, 2, 0, 1, 1), (30, 0.0, 2, 0, 1, 1), (10, 0.0, 0, 0, 1, 0)),
+    ((1, 1.0, 0, 0, 1, 0), (1, 1.0, 0, 0, 1, 0), (1, 1.0, 0, 0, 1, 0), (18, 0.0, 0, 0, 1, 0), (20, 0.0, 2, 0, 1, 1), (120, 0.0, 2, 0, 1, 1), (18, 0.0, 0, 0, 1, 0)),
+    # texts in bare boxes; short lines between long ones belong to them
+    ((2, 0.0, 0, 0, 1, 1), (60, 0.0, 0, 0, 1, 1), (3, 0.0, 0, 0, 1, 1), (45, 0.1, 0, 0, 1, 1), (9, 0.0, 0, 0, 1, 1), (150, 0.0, 0, 0, 1, 1)),
+    ((5, 0.0, 0, 0, 1, 1), (60, 0.0, 0, 0, 1, 1), (1, 0.0, 0, 0, 1, 1), (40, 0.0, 0, 0, 1, 1), (15, 0.0, 0, 0, 1, 1), (30, 0.3, 0, 0, 1, 1)),
+    ((150, 0.0, 0, 0, 1, 1),), ((12, 0.0, 0, 0, 1, 1),), ((3, 0.0, 0, 0, 1, 1),), ((2, 0.0, 0, 0, 1, 1),), ((1, 0.0, 0, 0, 1, 1),),
+    # short texts in paragraphs, lists and tables, without links around
+    ((4, 0.0, 2, 0, 1, 1),), ((1, 0.0, 2, 0, 1, 1), (2, 0.0, 2, 0, 1, 1), (3, 0.0, 2, 0, 1, 1)), ((6, 0.0, 1, 0, 1, 1), (2, 0.0, 1, 0, 1, 1)),
+    ((2, 0.0, 2, 0, 1, 1), (5, 0.0, 1, 0, 1, 1), (3, 0.2, 1, 0, 1, 1), (1, 0.0, 1, 0, 1, 1), (4, 0.0, 1, 0, 1, 1), (12, 0.1, 2, 0, 1, 1)),
+    # nothing but links, or names and links
+    ((4, 1.0, 2, 0, 1, 0),), ((1, 1.0, 0, 0, 1, 0), (2, 1.0, 0, 0, 1, 0)), ((2, 0.0, 0, 0, 1, 0), (3, 1.0, 1, 0, 1, 0), (2, 0.0, 0, 0, 1, 0), (4, 1.0, 1, 0, 1, 0)),
+)
 
 Tree = tuple  # (feature, threshold, tree at or below, tree above), or the verdict alone
 
 
-def train(table: np.ndarray, depth: int = 8):
+def train(table: np.ndarray, depth: int = 16):
     """A classification tree by the largest fall in Gini impurity; ties go to the first feature and threshold."""
     y = table[:, -1]
     if depth == 0 or y.min() == y.max():
@@ -247,12 +299,37 @@ def verdict(tree, x: tuple) -> bool:
     return tree
 
 
+def _described(rows: list[tuple]) -> list[tuple]:
+    """FEATURES of the blocks of a page, from (words, density, kind, aside, place) of each."""
+    around = [(0, 0.0), *(r[:2] for r in rows), (0, 0.0)]
+    runs: list[int] = []
+    # a run of links ends where the part of the page does
+    for (linked, _, _), run in groupby(rows, key=lambda r: (r[1] > LINKED, r[3], r[4])):
+        n = sum(1 for _ in run)
+        runs.extend([n if linked else 0] * n)
+    return [(words, density, *around[i], *around[i + 2], aside, place, kind, runs[i])
+            for i, (words, density, kind, aside, place) in enumerate(rows)]
+
+
+def labelled(pages=LABELLED) -> np.ndarray:
+    """The training table with FEATURES, the last column saying article or not.
+
+    A page that marks nothing is read again as it would be aside, outside of a marked article, and within one,
+    where all is article but runs of links in lists and boxes.
+    """
+    table = [(*x, row[-1]) for page in pages for x, row in zip(_described([r[:-1] for r in page]), page, strict=True)]
+    for page in pages:
+        bare = [row[:3] for row in page]
+        if all(place == 1 for *_, place, _ in page):
+            for aside, place in ((1, 1), (1, 2), (0, 0), (0, 2)):
+                for x in _described([(*row, aside, place) for row in bare]):
+                    table.append((*x, int(place == 2 and not aside and (x[-1] < MENU or x[-2] == 2))))
+    return np.array(table)
+
+
 def features(found: list[Block]) -> list[tuple]:
     marked = any(b.main for b in found)
-    size = [(b.words, b.density) for b in found]
-    around = [(0, 0.0), *size, (0, 0.0)]
-    return [(*size[i], *around[i], *around[i + 2], int(b.aside), 1 if not marked else 2 if b.main else 0)
-            for i, b in enumerate(found)]
+    return _described([(b.words, b.density, b.kind, int(b.aside), 1 if not marked else 2 if b.main else 0) for b in found])
 
 
 def main_text(page: str | None, tree) -> str:
@@ -264,9 +341,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) for each row of ``pages`` (page_id, url, html).
 
     The whole page is read, whatever its length. Null and empty pages and those without an article have an empty
-    text; page_id and url come back as they are, nulls and repeated rows included; other columns are left out.
+    text; page_id and url come back as they are, nulls and repeated rows included; other columns are left out. An
+    empty table gives an empty one. Blocks of any length are read whole; a page is one row of one batch in memory.
     """
-    tree = train(LABELLED)
+    tree = train(labelled())
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
