@@ -58,6 +58,14 @@ def test_rows_without_keys_pair_with_nothing(spark, shop):
     assert baskets.bought_together(items.limit(0), shop[1], "product_id").count() == 0
 
 
+def test_products_without_a_label_are_one_group(shop):
+    items, products = shop
+    some = products.withColumn("product_name", F.when(F.col("product_id") % 5 > 0, F.col("product_name")))
+    got = baskets.bought_together(items, some, k=30).collect()
+    assert [tuple(r) for r in got] == brute(items, some, "product_name", 30)
+    assert any(r.product_a is None for r in got)
+
+
 def test_fewer_pairs_than_asked_for(spark, shop):
     items = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 3)], "order_id int, product_id long")
     for block in (1, 100):

@@ -279,6 +279,13 @@ _SPLIT = {
         CAST(discount AS DECIMAL(5,2)) AS discount, CAST(profit AS DECIMAL(10,2)) AS profit
         FROM sales_lines"""),
 }
+
+
+def _delivered(r: Retail) -> DataFrame:
+    """The listing under the headers of the delivered file."""
+    return r.sales(raw=True).withColumnsRenamed({plain: head for head, plain in listing.HEADERS.items()})
+
+
 STAR = [
     Entry("BQ-19", key, lambda r, t=table: listing.star_schema(r.sales(raw=True))[t], sql)
     for key, (table, sql) in _SPLIT.items()
@@ -288,6 +295,15 @@ STAR = [
           """SELECT 'customers' AS table_name, COUNT(DISTINCT customer_id) AS row_count
              FROM sales_lines UNION ALL SELECT 'products', COUNT(DISTINCT product_id)
              FROM sales_lines UNION ALL SELECT 'orders', COUNT(*) FROM sales_lines"""),
+    Entry("BQ-19", "transform_listing",
+          lambda r: listing.transform_listing(_delivered(r)).select(
+              "row_id", "order_id", "customer_name", "product_name", "sub_category", "postal_code",
+              "order_date", "order_date_parsed", "order_year"),
+          """SELECT row_id, order_id, customer_name, product_name, sub_category,
+             CAST(postal_code AS VARCHAR) AS postal_code,
+             strftime(CAST(order_date AS DATE), '%-m/%-d/%Y') AS order_date,
+             CAST(order_date AS DATE) AS order_date_parsed, YEAR(CAST(order_date AS DATE)) AS order_year
+             FROM sales_lines"""),
 ]
 
 ENTRIES = RULES + DIMENSIONS + STAR

@@ -106,14 +106,16 @@ def bought_together(
     cut = lines.join(large, "order_id", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     square = F.col("copies").cast("double") * F.col("copies")
     norms = lines.groupBy("product_id").agg(F.sqrt(F.sum(square)).alias("_norm"))
-    # staged: Spark splits a hot product in a join only if both sides come straight out of a shuffle
-    named = stage(names.join(norms, "product_id"), "basket_norms")
-    strong = named.orderBy(F.col("_norm").desc(), "product_id").limit(PROBES).withColumnRenamed("_norm", "bound")
+    named = names.join(norms, "product_id")
+    bounds = named.groupBy(F.col("label").alias("_label")).agg(F.sum("_norm").alias("bound"))
+    # staged: Spark splits a hot product in a join only if both sides come straight out of a shuffle;
+    # products without a label are a group of their own, as in any grouping
+    labels = stage(named.join(bounds, F.col("label").eqNullSafe(F.col("_label"))).drop("_label"), "basket_labels")
+    strong = (labels.orderBy(F.col("_norm").desc(), "product_id").limit(PROBES)
+              .select("product_id", "label", F.col("_norm").alias("bound")))
     # one part in a million off the floor makes up for rounding in the roots
     floor = _kth(_pairs(cut.join(F.broadcast(strong), "product_id")), k) * (1 - 1e-6)
-    bounds = named.groupBy("label").agg(F.sum("_norm").alias("bound"))
-    best = bounds.agg(F.max("bound")).first()[0] or 0.0
-    useful = stage(named.select("product_id", "label").join(bounds, "label")
-                   .filter(F.col("bound") * best >= floor), "basket_labels")
+    best = labels.agg(F.max("bound")).first()[0] or 0.0
+    useful = labels.filter(F.col("bound") * best >= floor).drop("_norm")
     order = [F.col(COUNT).desc(), F.col("product_a").asc(), F.col("product_b").asc()]
     return _pairs(cut.join(useful, "product_id"), floor).orderBy(*order).limit(k)
