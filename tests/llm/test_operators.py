@@ -559,3 +559,140 @@ def test_pipeline_distinct(spark):
     for some in (rows, rows[::-1]):
         got = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(some, "doc_id long, text string"), DATA)
         assert Counter(map(tuple, got.collect())) == Counter([(5, a), (None, b), (1, c), (1, d), (None, e), (3, ""), (None, None), (9, " ")])
+
+
+def test_ranking_brute_force(spark):
+    """The scores of a plain minimisation of the same loss: every labelled row outside the fold, small steps, no Newton."""
+    docs, labels = (queries.table(spark, DATA, t) for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    known = [(ranking.features(texts[r.doc_id]), r.quality >= 1) for r in labels.collect()
+             if r.doc_id in texts and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    x, good = np.array([f for f, _ in known]), np.array([g for _, g in known])
+    order = np.lexsort((*x.T, good))
+    x, good = x[order], good[order]
+    mean, scale = x.mean(0), x.std(0) + 1e-6
+    z = (x - mean) / scale
+    draw, many = np.random.default_rng(9), ranking.PAIRS * len(x)
+    up, down = np.flatnonzero(good), np.flatnonzero(~good)
+    d = z[up[draw.integers(0, len(up), many)]] - z[down[draw.integers(0, len(down), many)]]
+    step = 1 / (np.linalg.norm(d, 2) ** 2 / 4 + 3)
+    w = ahead = np.zeros(z.shape[1])
+    for i in range(20_000):
+        slope = 3 * ahead - d.T @ (1 / (1 + np.exp(d @ ahead)))
+        new = ahead - step * slope
+        ahead, w = new + i / (i + 3) * (new - w), new
+    cut = np.quantile(z @ w, (~good).mean())
+    got = {r.doc_id: r for r in ranking.rank(docs, labels).collect()}
+    assert len(got) == len(texts)
+    for i, t in texts.items():
+        want = 1 / (1 + np.exp(-((ranking.features(t) - mean) / scale @ w - cut) - np.log(0.7 / 0.3)))
+        assert abs(got[i].score - want) < 1e-4
+        assert got[i].predicted == (want >= 0.7) or abs(want - 0.7) < 1e-4
+
+
+def test_ranking_sees_no_held_out_label(spark):
+    docs, labels = (queries.table(spark, DATA, t) for t in ("documents", "labels"))
+    flipped = labels.withColumn("quality", F.when(ranking.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    other = docs.withColumns({"lang": F.lit("xx"), "source": F.lit("one"), "quality": F.lit(1)})
+    assert sorted(map(tuple, ranking.rank(docs, labels).collect())) == sorted(map(tuple, ranking.rank(other, flipped).collect()))
+
+
+def test_quality_estimate_brute_force(spark, docs):
+    """Expectation-maximisation document by document, and the verdicts that follow from it."""
+    seen = {i: quality_rules.votes(quality_rules.traits(t)) for i, t in docs.items()}
+    start = {0: {0: 0.4, 2: 0.6}, 1: {0: 0.01, 2: 0.99}}
+    names = range(len(quality_rules.RULES))
+    prior, table = 0.8, [start] * len(names)
+
+    def posterior(votes):
+        both = [1 - prior, prior]
+        for c in (0, 1):
+            for r in names:
+                both[c] *= table[r][c][votes[r]] if votes[r] != 1 else 1
+        return both[1] / sum(both)
+
+    for _ in range(200):
+        p = {i: posterior(v) for i, v in seen.items()}
+        added = [{c: {v: start[c][v] + sum((p[i] if c else 1 - p[i]) for i, x in seen.items() if x[r] == v) for v in (0, 2)}
+                  for c in (0, 1)} for r in names]
+        table = [{c: {v: n / sum(of[c].values()) for v, n in of[c].items()} for c in (0, 1)} for of in added]
+        prior = (0.8 + sum(p.values())) / (1 + len(p))
+    p = {i: posterior(v) for i, v in seen.items()}
+    for r in quality_rules.judge(queries.table(spark, DATA, "documents")).collect():
+        assert abs(r.quality - p[r.doc_id]) < 1e-4
+        assert r.kept == (not r.base_failed and r.quality >= 0.5)
+
+
+def test_quality_tie(spark):
+    """A posterior of exactly ``least`` keeps the text."""
+    even = quality_rules.Model(0.5, np.ones((len(quality_rules.RULES), 2, 3)))
+    text = "the quick brown fox and the lazy dog went down to that old river"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [(r.quality, r.kept) for r in quality_rules.judge(df, even).collect()] == [(0.5, True)]
+    assert not quality_rules.judge(df, even, least=0.51).first().kept
+
+
+def test_flow_against_all_plans():
+    """Small networks: no way at all of dealing the rows moves fewer bytes."""
+    from itertools import product
+
+    def ways(rows, shards):
+        if shards == 1:
+            return [(rows,)]
+        return [(n, *rest) for n in range(rows + 1) for rest in ways(rows - n, shards - 1)]
+
+    rng = np.random.default_rng(21)
+    for _ in range(40):
+        shards = int(rng.integers(2, 4))
+        blocks = {(int(rng.integers(0, 4)), k): (n, n * int(rng.integers(1, 90))) for k, n in enumerate(rng.integers(1, 4, int(rng.integers(1, 5))).tolist())}
+        total, keys = sum(n for n, _ in blocks.values()), list(blocks)
+
+        def cost(dealt):
+            return sum(n * (blocks[key][1] // blocks[key][0]) for key, to in zip(keys, dealt, strict=True) for new, n in enumerate(to) if new != key[0])
+
+        best = min(cost(dealt) for dealt in product(*(ways(blocks[k][0], shards) for k in keys))
+                   if all(total // shards <= sum(to[s] for to in dealt) <= -(-total // shards) for s in range(shards)))
+        plan = resharding.solve(blocks, shards)
+        made = [[dict(plan.moves[key]).get(s, 0) for s in range(shards)] for key in keys]
+        assert [sum(to) for to in made] == [blocks[k][0] for k in keys]
+        rows = [sum(to[s] for to in made) for s in range(shards)]
+        assert max(rows) - min(rows) <= 1 and cost(made) == best
+
+
+def test_resharding_clashing_columns(odd):
+    df = odd.select("text", *[F.lit(7).cast("long").alias(c) for c in ("size", "shard", "slot", "text_crc32")], F.lit(1).alias("o"))
+    rows = resharding.reshard(df, "o", 2)[0].collect()
+    assert {(r["size"], r["shard"], r["slot"], r["text_crc32"]) for r in rows} == {(7, 7, 7, 7)}
+    assert Counter(r["shard_"] for r in rows) in ({0: 4, 1: 5}, {0: 5, 1: 4})
+    assert sorted(r["size_"] for r in rows) == sorted(len((r["text"] or "").encode()) + 1 for r in rows)
+
+
+def test_warc_long_and_repeated(spark):
+    """A page of 3 MB, rows that repeat each other, and rows that share a page_id but no text."""
+    big, body = "é<p>" * 600_000, "y" * 200
+    rows = [(1, "a", big), (2, "b", big), (3, "c", body), (3, "c", body), (4, "d", body), (4, "d", body + "z")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to, r.payload_digest) for r in warc.archive_pages(df).collect())
+    digest = {t: hashlib.sha256(t.encode()).hexdigest() for t in (big, body, body + "z")}
+    assert got == sorted([
+        (1, 3_000_000, "response", None, digest[big]), (2, 3_000_000, "revisit", 1, digest[big]),
+        (3, 200, "response", None, digest[body]), (3, 200, "response", None, digest[body]),
+        (4, 200, "revisit", 3, digest[body]), (4, 201, "response", None, digest[body + "z"])], key=lambda r: (r[0], r[1]))
+
+
+def test_pipeline_odd(spark):
+    """Null and empty texts, rows without doc_id, columns named like those the stages add, and an empty table."""
+    own = queries.table(spark, DATA, "documents").limit(30).collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars, "x", 5, True) for r in own]
+    rows += [(None, own[3].text, None, None, None, None, None, None), (900, None, "en", "s", 0, "x", 1, False), (901, "", "en", None, 0, "x", 1, False)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, n_words string, spans long, kept boolean"
+    for some in (rows, []):
+        now = spark.createDataFrame(some, kind)
+        for name, work in corpus_pipeline.STAGES[:-1]:
+            now = work(spark, now, DATA).cache()
+            assert now.columns == [c.split()[0] for c in kind.split(", ")], name
+        left = now.collect()
+        assert all(r.n_words == "x" and r.spans == 5 and r.kept for r in left) and bool(left) == bool(some)
+        packed = corpus_pipeline.STAGES[-1][1](spark, now, DATA).collect()
+        check_sequences(packed)
+        assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(r.doc_id for r in left)

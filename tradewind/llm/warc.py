@@ -34,7 +34,8 @@ def classified(pages: DataFrame, name: str = "warc") -> DataFrame:
     """``pages`` (page_id, url, html) with payload_bytes, payload_digest and refers_to.
 
     Of equal payloads of at least ``LEAST_REVISIT`` bytes the smallest page_id is the response, and refers_to
-    of the others names it. Only page_ids and digests meet by digest, never the payloads.
+    of the others names it. Only page_ids and digests meet by digest, never the payloads. Rows that share a
+    page_id are told apart by their digests, which also spreads rows without page_id over the join.
     """
     body = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     pages = pages.select("page_id", "url", "html")
@@ -44,10 +45,10 @@ def classified(pages: DataFrame, name: str = "warc") -> DataFrame:
                   .agg(F.min("page_id").alias("first"), F.count("*").alias("held")).where("held > 1").drop("held"),
                   f"{name}_first")
     refers = (small_rows.where(f"payload_bytes >= {LEAST_REVISIT}").join(first, "payload_digest")
-              .where("page_id <> first").select("page_id", F.col("first").alias("refers_to")).distinct())
+              .where("page_id <> first").select("page_id", "payload_digest", F.col("first").alias("refers_to")).distinct())
     return (pages.withColumn("payload_bytes", F.octet_length(body).cast("long"))
             .withColumn("payload_digest", F.sha2(body, 256))
-            .join(refers, "page_id", "left"))
+            .join(refers, ["page_id", "payload_digest"], "left"))
 
 
 def record(page_id: int | None, url: str | None, body: bytes, digest: str, refers_to: int | None) -> bytes:
