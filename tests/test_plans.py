@@ -137,6 +137,22 @@ def test_the_fact_is_scanned_once(spark, key, scans):
     assert plan.count("lineitem.parquet") == scans
 
 
+def test_lines_of_the_listing_move_once_per_large_key(spark, retail):
+    """By part and by order; orders meet their customers before that, so no line moves by customer."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = explain_text(retail.sales(raw=True), "simple").splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = [re.search(r"\w", line + "x").start() for line in plan]
+    moved = []
+    for i, line in enumerate(plan):
+        end = next((j for j in range(i + 1, len(plan)) if depth[j] <= depth[i]), len(plan))
+        if "Exchange hashpartitioning" in line and any("l_orderkey" in below for below in plan[i + 1:end]):
+            moved.append(re.search(r"hashpartitioning\((\w+)#", line)[1])
+    assert sorted(moved) == ["l_orderkey", "l_partkey"]
+
+
 def test_groups_are_limited_before_the_shuffle(spark):
     plan = explain_text(driver.queries()["top_n_per_group"](spark, DATA), "simple").splitlines()
     below = [" ".join(plan[i + 1:i + 3]) for i, line in enumerate(plan) if "Exchange hashpartitioning" in line and "_share" in line]

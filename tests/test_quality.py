@@ -10,6 +10,7 @@ from tests.conftest import rows
 from tradewind.operators import quality as Q
 from tradewind.operators import relational as R
 from tradewind.plans import cleaning, listing
+from tradewind.session import stage
 
 NOW = dt.datetime(2025, 6, 10, 12)
 
@@ -111,6 +112,52 @@ def test_nulls_and_duplicates(spark):
     assert Q.duplicate_count(df.limit(0)).first()[0] == 0
 
 
+@pytest.mark.parametrize("most", [0, 1, 100])
+def test_few_duplicates_are_dropped_like_any(spark, most):
+    """Copies, NULLs, zeros of either sign, and different rows of one hash: a NULL adds nothing to it."""
+    df = stage(spark.createDataFrame(
+        [(1, None, "a", 0.0), (None, 1, "a", 0.0), (1, None, "a", -0.0), (1, None, "a", 0.0),
+         (2, 3, None, float("nan")), (2, 3, None, float("nan")), (None, None, None, None),
+         (None, None, None, None), (4, 5, "b", 1.0)], "a int, b int, `c.d` string, e double"))
+    got, want = Q.drop_few_duplicates(df, most), Q.drop_duplicates(df)
+    assert got.columns == want.columns and len(rows(got)) == 5
+    assert {str(r).replace("-0.0", "0.0") for r in got.collect()} == {str(r).replace("-0.0", "0.0") for r in want.collect()}
+    single = df.filter("a = 4")
+    assert rows(Q.drop_few_duplicates(single, most)) == rows(single)
+    assert Q.drop_few_duplicates(df.limit(0), most).isEmpty()
+
+
+def order_lines(spark, n):
+    i = F.col("id")
+    text = {c: F.concat(F.lit(c), (i % 7).cast("string")) for c in (
+        "ship_mode", *listing.CUSTOMER_ATTRIBUTES, *listing.PRODUCT_ATTRIBUTES)}
+    return spark.range(n).select(
+        i.cast("string").alias("row_id"), (i % 50).alias("order_id"), F.lit("1/2/2020").alias("order_date"),
+        F.when(i % 3 != 0, "2/3/2020").alias("ship_date"), F.when(i % 5 != 0, i % 11).alias("customer_id"),
+        (i % 13).alias("product_id"), (i / 3).cast("decimal(12,4)").alias("sales"), (i % 4).cast("int").alias("quantity"),
+        F.lit(0).cast("decimal(5,4)").alias("discount"), F.lit(None).cast("decimal(12,4)").alias("profit"),
+        *[v.alias(c) for c, v in text.items()])
+
+
+def test_listing_with_copies_splits_as_without(spark):
+    """A copy, and a line that only differs in the text of a date or below the cent, are dropped."""
+    lines = order_lines(spark, 200)
+    near = lines.filter("row_id % 10 = 1").withColumns(
+        {"order_date": F.lit("01/02/2020"), "sales": F.col("sales").cast("decimal(10,2)").cast("decimal(12,4)")})
+    listed = lines.unionByName(lines.filter("row_id % 10 = 0")).unionByName(near)
+    got = listing.split_listing(listed)
+    for name, want in listing.star_schema(lines).items():
+        assert rows(got[name]) == rows(want), name
+    assert got["orders"].count() == 200
+
+
+def test_order_lines_without_copies_are_not_exchanged(spark):
+    """Only their hashes are: the table of orders, the widest, is written from where the listing lies."""
+    star = listing.split_listing(order_lines(spark, 200))
+    assert "Exchange" not in Q.explain_text(star["orders"], "simple")
+    assert star["orders"].count() == 200
+
+
 def test_constraint_reports(spark):
     df = spark.createDataFrame([(1, 5), (1, None), (None, -1), (2, 7)], "k int, v int")
     assert rows(Q.primary_key_violations(df, "k")) == [(1, 2), (None, 1)]

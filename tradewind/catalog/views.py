@@ -121,17 +121,19 @@ class Retail:
             customer = region = product = True
         order = order or customer or region
         df = self.table("lineitem")
-        if order:
-            df = df.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        if customer or region:
-            home = self.table("customer")
-            if region:
-                home = home.join(F.broadcast(self.region_of_nation),
-                                 F.col("c_nationkey") == F.col("n_nationkey"))
-            df = df.join(home, F.col("o_custkey") == F.col("c_custkey"))
         # profit needs the cost, which is the part's
         if product:
             df = df.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        if order:
+            placed = self.table("orders")
+            # orders find their customer before their lines find them: there are fewer to move
+            if customer or region:
+                home = self.table("customer")
+                if region:
+                    home = home.join(F.broadcast(self.region_of_nation),
+                                     F.col("c_nationkey") == F.col("n_nationkey"))
+                placed = placed.join(home, F.col("o_custkey") == F.col("c_custkey"))
+            df = df.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         keep = F.lit(1) - F.round(F.col("l_discount") * 100).cast("decimal(5,0)") * _hundredth()
         sales = (_cents("l_extendedprice") * _hundredth() * keep).cast("decimal(12,4)")
         quantity = F.col("l_quantity").cast("int")

@@ -11,6 +11,10 @@ from pyspark.sql.types import NumericType, StringType
 
 from tradewind.functions import columns as C
 from tradewind.operators import ordering
+from tradewind.session import stage
+
+# Hashes that ``drop_few_duplicates`` sends to every task, at most: some 10 MB.
+SHARED_HASHES = 200_000
 
 
 # --- NULLs and duplicates --------------------------------------------------
@@ -48,6 +52,28 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.select(row).distinct().select("_row.*")
 
 
+def drop_few_duplicates(df: DataFrame, most: int = SHARED_HASHES) -> DataFrame:
+    """``drop_duplicates`` of staged rows, most of which have no equal.
+
+    The hashes of the rows are counted first; a row whose hash is its own has no equal and
+    stays where it is. The others, which are few, go through ``drop_duplicates``, so that equal
+    hashes of different rows do no harm. With over ``most`` hashes of several rows, all rows do.
+    The rows are read more than once, so they must be staged.
+    """
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_hash")
+    counted = df.select(row_hash).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    shared = stage(counted.filter(F.col("_n") > 1).select("_hash"), "shared_hashes")
+    found = shared.count()
+    if found > most:
+        return drop_duplicates(df)
+    if not found:
+        return df
+    hashed, shared = df.select("*", row_hash), F.broadcast(shared)
+    single = hashed.join(shared, "_hash", "left_anti").drop("_hash")
+    several = hashed.join(shared, "_hash", "left_semi").drop("_hash")
+    return single.unionAll(drop_duplicates(several))
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each set of equal rows, as one row."""
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))

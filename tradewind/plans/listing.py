@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,15 +62,17 @@ def split_listing(raw: DataFrame, policy: str = "first") -> dict[str, DataFrame]
     """``star_schema`` for a caller that uses all three tables: the listing is worked out once and staged."""
     needed = dict.fromkeys(["row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id", "product_id", "sales",
                             "quantity", "discount", "profit", *CUSTOMER_ATTRIBUTES, *PRODUCT_ATTRIBUTES])
-    return star_schema(stage(raw.select(*needed), "listing"), policy)
+    return star_schema(stage(raw.select(*needed), "listing", "zstd"), policy, quality.drop_few_duplicates)
 
 
-def star_schema(raw: DataFrame, policy: str = "first") -> dict[str, DataFrame]:
+def star_schema(
+    raw: DataFrame, policy: str = "first", distinct: Callable[[DataFrame], DataFrame] = quality.drop_duplicates
+) -> dict[str, DataFrame]:
     """Split the flat listing into customers, products and orders.
 
     Dates become dates, amounts two-decimal numbers. ``policy`` says what happens
     to a customer or product listed with several attribute combinations (see
-    ``quality.build_dimension``).
+    ``quality.build_dimension``), ``distinct`` drops the copies of an order line.
     """
     amounts = {"sales": "decimal(10,2)", "discount": "decimal(5,2)", "profit": "decimal(10,2)"}
     orders = raw.select(
@@ -77,7 +81,7 @@ def star_schema(raw: DataFrame, policy: str = "first") -> dict[str, DataFrame]:
         "product_id", F.col("sales").cast(amounts["sales"]).alias("sales"), "quantity",
         F.col("discount").cast(amounts["discount"]).alias("discount"),
         F.col("profit").cast(amounts["profit"]).alias("profit"))
-    orders = quality.drop_duplicates(orders)
+    orders = distinct(orders)
     return {
         "customers": quality.build_dimension(raw, "customer_id", CUSTOMER_ATTRIBUTES, policy),
         "products": quality.build_dimension(raw, "product_id", PRODUCT_ATTRIBUTES, policy),

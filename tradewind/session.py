@@ -61,12 +61,12 @@ def stage_by(df: DataFrame, key: str, name: str = "staged") -> DataFrame:
     return read
 
 
-def stage(df: DataFrame, name: str = "staged") -> DataFrame:
+def stage(df: DataFrame, name: str = "staged", compression: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
     The result no longer depends on the plan that made it: lost executors cost
     a re-read, and partition numbers taken while writing can never change.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
